@@ -216,10 +216,10 @@ def stop_set(spark, sf_dir):
     return stop.select("ticker", "url", day("date").alias("date"), big("rank"))
 
 
-SQL_STOP = f"""heads AS (
+SQL_STOP = """heads AS (
     SELECT * FROM (SELECT ticker, date, url, pos,
-      row_number() OVER (PARTITION BY ticker, date ORDER BY pos) AS k FROM {{source}}
-      WHERE date_diff('day', date, DATE '{AS_OF}') <= 7) WHERE k <= 15),
+      row_number() OVER (PARTITION BY ticker, date ORDER BY pos) AS k FROM {source}
+      WHERE date_diff('day', date, DATE '{today}') <= 7) WHERE k <= 15),
   firsts AS (SELECT * FROM (SELECT ticker, date, url, pos,
       row_number() OVER (PARTITION BY ticker, url ORDER BY date DESC, pos) AS k FROM heads) WHERE k = 1),
   stop AS (SELECT * FROM (SELECT ticker, url, date,
@@ -348,12 +348,12 @@ QUERIES = {
     ),
     "stop_set": (
         stop_set,
-        f"""WITH {LINKS}, {SQL_STOP.format(source='links')}
+        f"""WITH {LINKS}, {SQL_STOP.format(source='links', today=AS_OF)}
         SELECT ticker, url, strftime(date, '%Y-%m-%d') AS date, rank FROM stop""",
     ),
     "stop_anti": (
         stop_anti,
-        f"""WITH {LINKS}, {_ITEMS}, {SQL_STOP.format(source="(SELECT * FROM items WHERE event_type = 'purchase')")}
+        f"""WITH {LINKS}, {_ITEMS}, {SQL_STOP.format(source="(SELECT * FROM items WHERE event_type = 'purchase')", today=AS_OF)}
         SELECT ticker, url, pos FROM items i WHERE event_type <> 'purchase'
         AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.ticker = i.ticker AND s.url = i.url)""",
     ),

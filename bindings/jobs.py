@@ -16,26 +16,27 @@ from bindings.analysis import (
 )
 from bindings.columns import SQL_STOP, sql_clean, sql_strip
 from bindings.curation import PAGE_SQL
-from bindings.tables import AS_OF, big, day, table
+from bindings.tables import big, day, table
 from newsflow.functions.dates import iso_seconds
 from newsflow.plans.ingest import ingest_news as ingest
 from newsflow.plans.two_stage import two_stage_run as two_stages
 from newsflow.sources import landing as L
 from newsflow.session import scratch_path
 
+AS_OF = "2024-01-10"
 TODAY = dt.date.fromisoformat(AS_OF)
-CAP = 20
+CAP = 120
 FETCHED = dt.datetime(2024, 1, 30, 12, 0, 0)
 
 
 def _linked_events(spark, sf_dir):
-    """Every event with the URL of a page."""
+    """Every event with the URL of a page, over eight tickers."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     events = table(spark, sf_dir, "events").withColumn(
         "page_id", F.col("event_id") % pages.select(F.count(F.lit(1))).scalar()
     )
     return events.join(pages, "page_id").select(
-        F.col("user_id").cast("string").alias("ticker"),
+        F.concat(F.lit("T"), (F.col("user_id") % 8).cast("string")).alias("ticker"),
         "event_id",
         "event_type",
         "ts",
@@ -54,7 +55,7 @@ def cards(spark, sf_dir):
 
 
 def landed(spark, sf_dir):
-    """Purchases are the news of earlier runs."""
+    """Purchases, moved 25 days back, are the news of earlier runs."""
     return _linked_events(spark, sf_dir).filter("event_type = 'purchase'").select(
         "url",
         F.lit("old").alias("title"),
@@ -65,7 +66,7 @@ def landed(spark, sf_dir):
         F.lit(None).cast("string").alias("error"),
         F.col("event_id").alias("pos"),
         "ticker",
-        F.to_date("ts").alias("date"),
+        F.date_sub(F.to_date("ts"), 25).alias("date"),
     )
 
 
@@ -94,12 +95,13 @@ def ingest_news(spark, sf_dir):
 
 
 _INGEST = f"""linked AS (
-    SELECT CAST(user_id AS VARCHAR) AS ticker, event_id AS pos, event_type, CAST(ts AS DATE) AS date, url, props
+    SELECT 'T' || (user_id % 8) AS ticker, event_id AS pos, event_type, CAST(ts AS DATE) AS date, url, props
     FROM events JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)),
   earlier AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date, url ORDER BY pos) AS dup
-    FROM linked WHERE event_type = 'purchase') WHERE dup = 1),
+    FROM (SELECT ticker, pos, CAST(date - 25 AS DATE) AS date, url, props FROM linked
+          WHERE event_type = 'purchase')) WHERE dup = 1),
   last AS (SELECT ticker, max(date) AS last_date FROM earlier GROUP BY ticker),
-  {SQL_STOP.format(source='earlier')},
+  {SQL_STOP.format(source='earlier', today=AS_OF)},
   unique_cards AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, url ORDER BY pos) AS dup
     FROM linked WHERE event_type <> 'purchase') WHERE dup = 1),
   fresh AS (SELECT c.*, last_date FROM unique_cards c LEFT JOIN last USING (ticker)

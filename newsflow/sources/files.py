@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow.schemas import LIST_FILES_MAX
@@ -29,8 +30,8 @@ def find_file(spark: SparkSession, path: str) -> DataFrame:
     folder, _, name = path.rpartition("/")
     try:
         files = all_files(spark, folder, name)
-    except Exception as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         files = spark.createDataFrame([], "path string, size bigint, modified timestamp")
     return files.filter(F.endswith("path", F.lit(f"/{name}"))).agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow.functions.dates import iso_seconds
@@ -29,21 +30,14 @@ def union_by_name(old: DataFrame, new: DataFrame, fill: str = "") -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True).na.fill(fill)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except Exception as problem:
-        if any(k in str(problem) for k in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-            return False
-        raise
-    return True
-
-
 def read_landed(spark: SparkSession, base: str, schema) -> DataFrame:
     """The landed table, or no rows where nothing has landed yet."""
-    if table_exists(spark, base):
+    try:
         return spark.read.schema(schema).parquet(base)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_partitions(rows: DataFrame, base: str, mode: str, keys: Sequence[str] = PARTITION_KEYS) -> None:
