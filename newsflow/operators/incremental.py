@@ -53,7 +53,7 @@ def stop_set(
     """
     today = today if isinstance(today, Column) else F.lit(today)
     recent = landed.select("ticker", "date", "url", pos).filter(
-        F.col("url").isNotNull() & (F.date_diff(today, F.col("date")) <= lookback_days)
+        F.col("url").isNotNull() & (F.col("date") >= F.date_sub(today, lookback_days))
     )
     heads = first_n_per_key(recent, ["ticker", "date"], [F.col(pos)], top_n)
     newest_first = [F.desc("date"), F.col(pos)]
@@ -63,7 +63,7 @@ def stop_set(
 
 def drop_stopped(links: DataFrame, stop: DataFrame, url: str = "url") -> DataFrame:
     """Links whose trimmed URL is not in their ticker's stop set."""
-    known = stop.select("ticker", strip(F.col("url")).alias("_url")).distinct()
+    known = stop.select("ticker", strip(F.col("url")).alias("_url"))
     keyed = links.withColumn("_url", strip(F.col(url)))
     return keyed.join(known, ["ticker", "_url"], "left_anti").select(*links.columns)
 

@@ -12,6 +12,7 @@ from newsflow.functions.text import STOP_WORDS, let, strip, term_counts, tokens
 from newsflow.functions.vectors import cosine
 from newsflow.operators.ranking import first_n_per_key, ranked_join
 from newsflow.schemas import KEYWORD_SEPARATOR, KEYWORDS_TOP_K
+from newsflow.session import materialise
 
 
 def frequent_terms(
@@ -48,13 +49,15 @@ HOT_TERMS = 1000
 
 
 def with_document_frequency(terms: DataFrame, hot_share: int = HOT_TERMS) -> DataFrame:
-    """Add ``doc_freq``, the number of articles that hold the term.
+    """Add ``doc_freq``, the number of articles that hold the term. ``terms`` is read
+    twice, so give it as a written table.
 
     A term in more than 1/``hot_share`` of all (article, term) rows is hot; there are
     fewer than ``hot_share`` of those by counting, so they are broadcast. The long tail
     is joined on the term, where no key is larger than 1/``hot_share`` of the table.
     """
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    counts = materialise(counts, "vocabulary")
     total = counts.select(F.sum("doc_freq")).scalar()
     is_hot = F.col("doc_freq") * hot_share > total
     hot = F.broadcast(counts.filter(is_hot).withColumnRenamed("doc_freq", "_hot_freq"))
@@ -76,9 +79,11 @@ def tfidf_keywords(
 ) -> DataFrame:
     """``keys, keywords`` by term frequency times smoothed inverse document frequency.
 
-    Articles without a term are not in the result.
+    Articles without a term are not in the result. The texts are split once: the term
+    table is written to the shared scratch folder and read from there.
     """
-    terms = with_document_frequency(term_table(articles, keys, text, stop_words))
+    written = materialise(term_table(articles, keys, text, stop_words), "terms")
+    terms = with_document_frequency(written)
     documents = articles.select(F.count(F.lit(1))).scalar()
     idf = F.ln((documents + 1) / (F.col("doc_freq") + 1)) + 1
     scored = terms.withColumn("score", F.round(F.col("tf") * idf, digits))

@@ -12,25 +12,40 @@ from newsflow.functions.text import clean, strip, summary_error_text
 from newsflow.schemas import CHUNK_CHARS
 
 
-def chunk_column(text: Column, width: int = CHUNK_CHARS) -> Column:
-    """Cleaned text wrapped to ``width`` characters; blank text has no chunks."""
+def with_chunks(
+    articles: DataFrame, text: str = "content", width: int = CHUNK_CHARS, out: str = "chunks"
+) -> DataFrame:
+    """Add the cleaned text wrapped to ``width`` characters; blank text has no chunks.
+
+    Text that fits is its own chunk: only longer text is sent to a Python worker.
+    """
 
     @F.pandas_udf("array<string>")
     def wrap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(lambda t: textwrap.wrap(t, width))
-
-    cleaned = clean(text)
-    # Text that fits is its own chunk and stays on the JVM side.
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(wrap(cleaned))
+            yield batch.map(lambda t: None if t is None else textwrap.wrap(t, width))
+
+    cleaned = F.col("_cleaned")
+    long = F.length(cleaned) > width
+    return (
+        articles.withColumn("_cleaned", clean(F.col(text)))
+        .withColumn("_wrapped", wrap(F.when(long, cleaned)))
+        .withColumn(
+            out,
+            F.when(long, F.col("_wrapped"))
+            .when(cleaned != "", F.array(cleaned))
+            .otherwise(F.array().cast("array<string>")),
+        )
+        .drop("_cleaned", "_wrapped")
+    )
 
 
 def chunk_table(
     articles: DataFrame, keys: Sequence[str], text: str = "content", width: int = CHUNK_CHARS
 ) -> DataFrame:
     """One row per chunk: ``keys, chunk_pos, chunk``."""
-    return articles.select(
-        *keys, F.posexplode(chunk_column(F.col(text), width)).alias("chunk_pos", "chunk")
+    return with_chunks(articles.select(*keys, text), text, width, "_chunks").select(
+        *keys, F.posexplode("_chunks").alias("chunk_pos", "chunk")
     )
 
 
@@ -47,9 +62,12 @@ def summarize_in_rows(
     width: int = CHUNK_CHARS,
 ) -> DataFrame:
     """Summaries by a column expression: chunks stay in their row, nothing is shuffled."""
-    chunks = chunk_column(F.col(text), width)
-    parts = F.transform(chunks, summarise)
-    return articles.withColumn(out, strip(F.array_join(parts, " ")))
+    parts = F.transform("_chunks", summarise)
+    return (
+        with_chunks(articles, text, width, "_chunks")
+        .withColumn(out, strip(F.array_join(parts, " ")))
+        .drop("_chunks")
+    )
 
 
 def summarize_with_model(

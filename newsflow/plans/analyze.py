@@ -13,6 +13,7 @@ from newsflow.operators.keywords import frequent_terms, joined_keywords
 from newsflow.operators.ranking import dedup_keep_first
 from newsflow.operators.sentiment import lexicon_label, model_label
 from newsflow.operators.summaries import leading_sentence, summarize_in_rows, summarize_with_model
+from newsflow.session import materialise
 from newsflow.schemas import CHUNK_CHARS, KEYWORDS_TOP_K, NO_CONTENT, PARTITION_KEYS
 
 
@@ -36,6 +37,23 @@ class Backends:
     spread: int | None = None
 
 
+def _model_summaries(rows: DataFrame, keys: Sequence[str], backends: Backends) -> DataFrame:
+    """``keys, content, summary``; ``content`` only where the model returned no summary.
+
+    Model output is written once. Nothing later reads the text of an article that has a
+    summary, so only the texts of those without one are joined back.
+    """
+    summaries = materialise(
+        summarize_with_model(
+            rows, keys, backends.summary_model, width=backends.chunk_chars, spread=backends.spread
+        ),
+        "summaries",
+    )
+    silent = summaries.filter(F.col("summary") == "").select(*keys)
+    texts = rows.select(*keys, "content").join(silent, keys, "left_semi")
+    return summaries.join(texts, keys, "left")
+
+
 def analyze_articles(
     articles: DataFrame,
     backends: Backends = Backends(),
@@ -52,10 +70,7 @@ def analyze_articles(
             rows, backends.summarise, width=backends.chunk_chars
         )
     else:
-        summaries = summarize_with_model(
-            rows, keys, backends.summary_model, width=backends.chunk_chars, spread=backends.spread
-        )
-        summed = rows.join(summaries, list(keys))
+        summed = _model_summaries(rows, [*keys, "pos"], backends)
     summed = summed.withColumn("_base", base_text(F.col("summary"), F.col("content")))
     base = F.col("_base")
     if backends.sentiment_model is None:

@@ -18,6 +18,7 @@ from newsflow.schemas import (
     STOP_LOOKBACK_DAYS,
     STOP_TOP_N,
 )
+from newsflow.session import materialise
 from newsflow.sources.landing import land_by_date, with_lineage
 
 
@@ -71,8 +72,10 @@ def ingest_rows(
     the links before it is shuffled (broadcast or run-time bloom filter, by size).
     """
     links, last = new_links(cards, landed, F.lit(as_of), max_articles, **link_options)
+    # Both joins below read the capped links, so they are worked out and written once.
+    links = materialise(links, "links")
     # A page is parsed once even when several tickers link to it.
-    wanted = pages.join(links.select("url").distinct(), "url", "left_semi")
+    wanted = pages.join(links.select("url"), "url", "left_semi")
     articles = to_articles(wanted, F.lit(as_of), zone=zone)
     if not land_errors:
         articles = articles.filter(F.col("error").isNull())

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from newsflow.functions.dates import iso_seconds
 from newsflow.functions.text import strip
 from newsflow.operators.incremental import drop_landed, in_partitions
-from newsflow.operators.ranking import dedup_keep_first
+from newsflow.operators.ranking import dedup_keep_first, first_per_key
 from newsflow.schemas import PARTITION_KEYS, RESULT_COLUMNS
 from newsflow.session import materialise
 
@@ -61,6 +61,13 @@ def landable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _between_days(landed: DataFrame, batch: DataFrame) -> DataFrame:
+    """Landed days from the first to the last day of the batch: two dates that prune the
+    partitions to read when the plan is made."""
+    first, last = batch.agg(F.min("date"), F.max("date")).first()
+    return landed.filter(F.col("date").between(F.lit(first), F.lit(last)))
+
+
 def land_by_date(rows: DataFrame, base: str, rewrite: bool = False, pos: str = "pos") -> DataFrame:
     """Land the new rows of a batch; returns the rows that were added.
 
@@ -69,17 +76,22 @@ def land_by_date(rows: DataFrame, base: str, rewrite: bool = False, pos: str = "
     also merges the touched days (and only those) into fresh files, through a staged
     copy, so that a failure in between leaves the merged rows on disk.
 
-    The batch is written once before it is compared: pages are not parsed twice.
+    The batch is written once before it is compared, so pages are not parsed twice. The
+    comparison handles keys and row numbers only; texts move once, to be written.
     """
     spark = rows.sparkSession
-    batch = materialise(landable(rows)[0], "batch")
-    first = dedup_keep_first(None, batch, pos=pos)
-    landed = read_landed(spark, base, batch.schema)
-    touched = batch.select(*PARTITION_KEYS).distinct()
-    known = in_partitions(landed.select(*PARTITION_KEYS, "url"), touched)
-    added = materialise(drop_landed(first, known), "added")
+    numbered = landable(rows)[0].withColumn("_row", F.monotonically_increasing_id())
+    batch = materialise(numbered, "batch")
+    keys = batch.select(*PARTITION_KEYS, "url", pos, "_row")
+    first = first_per_key(keys, [*PARTITION_KEYS, "url"], [F.col(pos), F.col("_row")])
+    landed = _between_days(read_landed(spark, base, rows.schema), batch)
+    known = in_partitions(
+        landed.select(*PARTITION_KEYS, "url"), batch.select(*PARTITION_KEYS).distinct()
+    )
+    chosen = materialise(drop_landed(first, known).select(*PARTITION_KEYS, "_row"), "chosen")
+    added = batch.join(chosen.select("_row"), "_row", "left_semi").drop("_row")
     if rewrite:
-        old = in_partitions(landed, added.select(*PARTITION_KEYS).distinct())
+        old = in_partitions(landed, chosen.select(*PARTITION_KEYS).distinct())
         merged = materialise(dedup_keep_first(old, added, pos=pos), "merged")
         write_partitions(merged, base, "overwrite")
     else:
