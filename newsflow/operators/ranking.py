@@ -53,19 +53,21 @@ def dedup_keep_first(
 ) -> DataFrame:
     """Bag union by column name, then one row per key: old rows win, then row order.
 
-    ``normalise`` replaces key columns by an expression for the comparison only. An empty
-    ``keys`` switches the dedup off.
+    ``normalise`` replaces key columns by an expression for the comparison only; a digest
+    of it stands in for it, so no second copy of a text is shuffled. An empty ``keys``
+    switches the dedup off.
     """
     both = new.withColumn("_source", F.lit(1))
     if old is not None:
         both = old.withColumn("_source", F.lit(0)).unionByName(both, allowMissingColumns=True)
     if not keys:
         return both.drop("_source")
-    compared = {f"_key_{k}": (normalise or {}).get(k, F.col(k)) for k in keys}
-    kept = first_per_key(
-        both.withColumns(compared), list(compared), [F.col("_source"), F.col(pos)]
-    )
-    return kept.drop("_source", *compared)
+    digests = {f"_key_{k}": F.sha2(c, 256) for k, c in (normalise or {}).items() if k in keys}
+    if digests:
+        both = both.withColumns(digests)
+    compared = [f"_key_{k}" if f"_key_{k}" in digests else k for k in keys]
+    kept = first_per_key(both, compared, [F.col("_source"), F.col(pos)])
+    return kept.drop("_source", *digests)
 
 
 def dedup_links(

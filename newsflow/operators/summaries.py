@@ -12,12 +12,19 @@ from newsflow.functions.text import clean, strip, summary_error_text
 from newsflow.schemas import CHUNK_CHARS
 
 
+# A line may end after a hyphen with letters on both sides.
+_LETTER = r"[\p{L}\p{Nl}\p{No}_]"
+_HYPHEN_BREAK = rf"(?<={_LETTER}{{2}}-|{_LETTER}-{_LETTER}-)(?={_LETTER}-?{_LETTER})"
+
+
 def with_chunks(
     articles: DataFrame, text: str = "content", width: int = CHUNK_CHARS, out: str = "chunks"
 ) -> DataFrame:
     """Add the cleaned text wrapped to ``width`` characters; blank text has no chunks.
 
-    Text that fits is its own chunk: only longer text is sent to a Python worker.
+    A greedy match that has to end at a break is the greedy wrapping. Only text with
+    words longer than a line or with dashes of several hyphens, for which there are more
+    rules, is sent to a Python worker.
     """
 
     @F.pandas_udf("array<string>")
@@ -27,12 +34,15 @@ def with_chunks(
 
     cleaned = F.col("_cleaned")
     long = F.length(cleaned) > width
+    special = F.contains(cleaned, F.lit("--")) | cleaned.rlike(f"[^ ]{{{width + 1}}}")
+    line = f"(?s)(.{{1,{width}}})(?: |$|{_HYPHEN_BREAK})"
     return (
         articles.withColumn("_cleaned", clean(F.col(text)))
-        .withColumn("_wrapped", wrap(F.when(long, cleaned)))
+        .withColumn("_wrapped", wrap(F.when(long & special, cleaned)))
         .withColumn(
             out,
-            F.when(long, F.col("_wrapped"))
+            F.when(F.col("_wrapped").isNotNull(), F.col("_wrapped"))
+            .when(long, F.regexp_extract_all(cleaned, F.lit(line), F.lit(1)))
             .when(cleaned != "", F.array(cleaned))
             .otherwise(F.array().cast("array<string>")),
         )

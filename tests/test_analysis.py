@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from newsflow.operators import keywords as K
@@ -33,6 +34,13 @@ def test_chunks_like_the_wrapper(spark):
     assert [tuple(r) for r in got] == want
 
 
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="aaé1-_. \U0001f600'", max_size=120), min_size=30, max_size=30), st.integers(5, 30))
+def test_any_chunks_like_the_wrapper(spark, texts, width):
+    got = M.with_chunks(frame(spark, texts), width=width).orderBy("doc_id").collect()
+    assert [r.chunks for r in got] == [textwrap.wrap(" ".join(t.split()), width) for t in texts]
+
+
 def failing():
     def predict(texts):
         if any("bad" in t for t in texts):
