@@ -50,10 +50,6 @@ def _last_written(column: str, ord_: Column) -> Column:
     return F.max_by(F.col(column), F.when(written, ord_)).alias(column)
 
 
-def _first_of(column: str, ord_: Column, only: Column) -> Column:
-    return F.min_by(F.col(column), F.when(only, ord_)).alias(column)
-
-
 def history_state(
     log: DataFrame,
     ord_cols: Sequence[str],
@@ -74,7 +70,7 @@ def history_state(
     return (
         log.groupBy(id_col)
         .agg(
-            *[_first_of(c, order, started) for c in fixed],
+            F.min_by(F.struct(*fixed), F.when(started, order)).alias("_fixed"),
             *[_last_written(c, order) for c in mutable],
             F.max_by(F.col(status), order).alias(status),
             F.max(F.when(started, F.col(time))).alias("started_at"),
@@ -84,7 +80,8 @@ def history_state(
             F.bool_or(started).alias("_started"),
         )
         .filter("_started")
-        .drop("_started")
+        .select("*", "_fixed.*")
+        .drop("_started", "_fixed")
     )
 
 
@@ -100,10 +97,11 @@ def upsert_state(
     ``fixed`` columns keep the value of the first insert.
     """
     order = F.struct(*[F.col(c) for c in ord_cols])
-    return log.groupBy(*keys).agg(
-        *[F.min_by(F.col(c), order).alias(c) for c in fixed],
-        *[F.max_by(F.col(c), order).alias(c) for c in mutable],
+    folded = log.groupBy(*keys).agg(
+        F.min_by(F.struct(*fixed), order).alias("_fixed"),
+        F.max_by(F.struct(*mutable), order).alias("_mutable"),
     )
+    return folded.select("*", "_fixed.*", "_mutable.*").drop("_fixed", "_mutable")
 
 
 def run_upsert(

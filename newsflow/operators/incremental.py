@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.functions.dates import not_before
@@ -22,7 +23,8 @@ from newsflow.schemas import STOP_LOOKBACK_DAYS, STOP_TOP_N
 
 def last_dates(partitions: DataFrame, ticker: str = "ticker", date: str = "date") -> DataFrame:
     """Latest valid date of every ticker; names that are no date do not count."""
-    valid = F.col(date).cast("string").try_cast("date")
+    typed = dict(partitions.dtypes)[date] == "date"
+    valid = F.col(date) if typed else F.col(date).cast("string").try_cast("date")
     return partitions.groupBy(ticker).agg(F.max(valid).alias("last_date"))
 
 
@@ -33,11 +35,11 @@ def since_last(
     keep_null: bool = True,
     on: Sequence[str] = ("ticker",),
 ) -> DataFrame:
-    """Rows on or after their ticker's last date; a ticker without one keeps all rows."""
+    """Rows on or after their ticker's last date; a ticker without one keeps all rows.
+
+    The last date stays as a column, for a second test of the same rows."""
     joined = rows.join(last, list(on), "left")
-    return joined.filter(
-        not_before(F.col(date), F.col("last_date"), keep_null)
-    ).drop("last_date")
+    return joined.filter(not_before(F.col(date), F.col("last_date"), keep_null))
 
 
 def stop_set(
@@ -87,6 +89,19 @@ def partition_stats(
     )
 
 
+def stored_partition_stats(rows: DataFrame) -> DataFrame:
+    """Statistics of a stored table by the write time of its files.
+
+    A table that was never written has no files to ask, and no rows either.
+    """
+    try:
+        return partition_stats(rows, F.col("_metadata.file_modification_time"))
+    except AnalysisException as problem:
+        if not (problem.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return partition_stats(rows, F.lit(None).cast("timestamp"))
+
+
 def pending_partitions(
     inputs: DataFrame,
     outputs: DataFrame,

@@ -10,6 +10,10 @@ from newsflow.operators.ranking import first_n_per_key
 from newsflow.schemas import DAG_STATUSES, LATEST_RUNS
 
 
+# latest_runs broadcasts at most the square of this many rows.
+BROADCAST_LIMIT = 200
+
+
 def ticker_stats(
     history: DataFrame,
     ticker: str = "ticker",
@@ -60,13 +64,15 @@ def latest_runs(
 
     A left join keeps every crawl, so the first ``limit`` result rows belong to the first
     ``limit`` crawls, and no crawl shows more than ``limit`` analyses. Both cuts are made
-    before the join: at most ``limit`` crawls and ``limit`` squared analyses are
-    broadcast, and neither table is shuffled as a whole.
+    before the join: at most ``limit`` crawls and ``limit`` squared analyses take part,
+    and neither table is shuffled as a whole. For a usual limit that bound is small
+    enough to broadcast.
     """
+    bounded = F.broadcast if limit <= BROADCAST_LIMIT else lambda df: df
     newest = crawls.select(
         "id", "ticker", "crawl_date", "article_count", "status", "created_at"
     ).orderBy(F.desc("created_at"), F.col("id")).limit(limit)
-    ids = F.broadcast(newest.select(F.col("id").alias("crawling_history_id")))
+    ids = bounded(newest.select(F.col("id").alias("crawling_history_id")))
     matched = analyses.join(ids, "crawling_history_id", "left_semi").withColumn(
         "_order", F.struct(*tie_break)
     )
@@ -78,7 +84,7 @@ def latest_runs(
         "_order",
     )
     return (
-        newest.join(F.broadcast(few), newest["id"] == few["crawling_history_id"], "left")
+        newest.join(bounded(few), newest["id"] == few["crawling_history_id"], "left")
         .orderBy(F.desc("created_at"), F.col("id"), F.col("_order").asc_nulls_last())
         .limit(limit)
         .select(
@@ -128,14 +134,18 @@ def constraint_violations(
     df: DataFrame,
     domains: dict[str, Sequence[str]] | None = None,
     required: Sequence[str] = (),
+    lengths: dict[str, int] | None = None,
     unique: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
-    """``(rule, key, violations)`` for values outside a domain, nulls and repeated keys."""
+    """``(rule, key, violations)`` for values outside a domain, nulls, texts that are too
+    long and repeated keys."""
     checks = {}
     for column, allowed in (domains or {}).items():
         checks[f"domain:{column}"] = (~F.col(column).isin(list(allowed)), F.col(column))
     for column in required:
         checks[f"required:{column}"] = (F.col(column).isNull(), F.lit(""))
+    for column, most in (lengths or {}).items():
+        checks[f"length:{column}"] = (F.length(column) > most, F.col(column))
     parts = []
     if checks:
         # One scan for all row rules: a row yields one entry per rule it breaks.

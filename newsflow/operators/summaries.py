@@ -97,7 +97,7 @@ def summarize_with_model(
     """
     chunks = chunk_table(articles, keys, text, width)
     if spread:
-        chunks = chunks.repartition(spread)
+        chunks = chunks.repartition(spread, *keys, "chunk_pos")
     scored = chunks.withColumn("_result", model(F.col("chunk")))
     part = F.coalesce(F.col("_result.value"), summary_error_text(F.col("_result.error")))
     joined = scored.select(*keys, F.struct("chunk_pos", part.alias("part")).alias("_part"))

@@ -5,16 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow.functions.text import STOP_WORDS, base_text, clean, error_text, is_blank, strip
-from newsflow.operators.incremental import in_partitions, select_partitions
+from newsflow.operators.incremental import (
+    in_partitions,
+    select_partitions,
+    stored_partition_stats,
+)
 from newsflow.operators.keywords import frequent_terms, joined_keywords
 from newsflow.operators.ranking import dedup_keep_first
 from newsflow.operators.sentiment import lexicon_label, model_label
 from newsflow.operators.summaries import leading_sentence, summarize_in_rows, summarize_with_model
+from newsflow.schemas import (
+    CHUNK_CHARS,
+    KEYWORDS_TOP_K,
+    NO_CONTENT,
+    PARTITION_KEYS,
+    RAW_NEWS,
+    RESULTS,
+)
 from newsflow.session import materialise
-from newsflow.schemas import CHUNK_CHARS, KEYWORDS_TOP_K, NO_CONTENT, PARTITION_KEYS
+from newsflow.sources.landing import read_landed, write_partitions
 
 
 @dataclass(frozen=True)
@@ -119,6 +131,39 @@ def analyze_news(
     return merge_results(previous, current, dedup)
 
 
+def run_backfill(
+    spark: SparkSession,
+    base: str,
+    results: str,
+    backends: Backends = Backends(),
+    ticker: str | None = None,
+    date: str | None = None,
+    mode: str = "pending",
+    dedup: Sequence[str] = ("summary",),
+) -> DataFrame:
+    """Analyse stored news into a stored result table; returns the rows written.
+
+    What is pending follows from the write times of the files on both sides. The merged
+    rows are staged before they replace their partitions.
+    """
+    news = read_landed(spark, base, RAW_NEWS)
+    previous = read_landed(spark, results, RESULTS)
+    merged = analysis_backfill(
+        news,
+        stored_partition_stats(news),
+        stored_partition_stats(previous),
+        previous,
+        backends,
+        ticker,
+        date,
+        mode,
+        dedup,
+    )
+    staged = materialise(merged, "results")
+    write_partitions(staged, results, "overwrite")
+    return staged
+
+
 def analysis_backfill(
     news: DataFrame,
     catalog: DataFrame,

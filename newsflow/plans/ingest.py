@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.functions.dates import date_guess, local_date
+from newsflow.functions.dates import date_guess, local_date, not_before
 from newsflow.functions.urls import absolute
 from newsflow.operators.incremental import drop_stopped, last_dates, since_last, stop_set
 from newsflow.operators.pages import to_articles
@@ -31,8 +31,8 @@ def new_links(
     stop_top_n: int = STOP_TOP_N,
     host: str = SITE_HOST,
     card_zone: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Links worth fetching, with the last date of their tickers.
+) -> DataFrame:
+    """``ticker, pos, url, date_guess, last_date`` of the links worth fetching.
 
     ``cards`` has ``ticker, pos, href, datetime``. Card dates are UTC dates as written;
     ``card_zone`` turns zoned card times into local dates first, to compare like with
@@ -47,10 +47,9 @@ def new_links(
         .select("ticker", "pos", "url", "date_guess")
     )
     last = last_dates(landed.select("ticker", "date"))
-    links = dedup_links(links)
-    recent = since_last(links, last, "date_guess", keep_null=True)
+    recent = since_last(dedup_links(links), last, "date_guess", keep_null=True)
     fresh = drop_stopped(recent, stop_set(landed, today, lookback_days, stop_top_n))
-    return cap_per_ticker(fresh, max_articles), last
+    return cap_per_ticker(fresh, max_articles)
 
 
 def ingest_rows(
@@ -71,7 +70,7 @@ def ingest_rows(
     still wanted are parsed. A page table much larger than the link table is filtered by
     the links before it is shuffled (broadcast or run-time bloom filter, by size).
     """
-    links, last = new_links(cards, landed, F.lit(as_of), max_articles, **link_options)
+    links = new_links(cards, landed, F.lit(as_of), max_articles, **link_options)
     # Both joins below read the capped links, so they are worked out and written once.
     links = materialise(links, "links")
     # A page is parsed once even when several tickers link to it.
@@ -79,8 +78,8 @@ def ingest_rows(
     articles = to_articles(wanted, F.lit(as_of), zone=zone)
     if not land_errors:
         articles = articles.filter(F.col("error").isNull())
-    rows = links.select("ticker", "pos", "url").join(articles, "url")
-    kept = since_last(rows, last, "date", keep_null=False)
+    rows = links.select("ticker", "pos", "url", "last_date").join(articles, "url")
+    kept = rows.filter(not_before(F.col("date"), F.col("last_date"), keep_null=False))
     return with_lineage(kept, run_id, fetched_at).select(
         "url",
         F.coalesce("title", F.lit("")).alias("title"),

@@ -153,6 +153,7 @@ def test_orphans_and_violations(rows):
     got = S.set_null_orphans(children, parents, "crawling_history_id").collect()
     assert {(r.crawling_history_id, r.v) for r in got} == {(1, "x"), (None, "y"), (None, "z")}
     df = rows([("r", "odd"), ("r", "success"), (None, "failed")], "run_id string, status string")
+    assert S.constraint_violations(df, lengths={"status": 6}).count() == 1
     bad = {(r.rule, r.key): r.violations for r in S.status_violations(df, required=["run_id"], unique=[["run_id"]]).collect()}
     assert bad == {("domain:status", "odd"): 1, ("required:run_id", ""): 1, ("unique:run_id", "r"): 2}
 

@@ -167,3 +167,34 @@ def test_stream_equals_batch_and_replays_nothing(spark, rows, tmp_path):
     batch = analyze_news(L.read_landed(spark, base, RAW_NEWS), backends=backends)
     assert have == {(r.date, r.url, r.summary, r.sentiment) for r in batch.collect()}
     assert have == {(D1, "u1", "Good day.", "positive"), (D1, "u3", "Bad day.", "neutral"), (D2, "u4", "Good day.", "positive")}
+
+
+def test_stored_backfill_follows_the_files(spark, rows, tmp_path):
+    from newsflow.plans.analyze import run_backfill
+
+    base, results = str(tmp_path / "raw"), str(tmp_path / "results")
+    backends = Backends(sentiment_weights={"good": 1.0})
+    L.land_by_date(rows([article("u1", content="Good day."), article("u2", date=D2, content=" ")], RAW_NEWS), base)
+    assert {r.url for r in run_backfill(spark, base, results, backends).collect()} == {"u1"}
+    # nothing is newer; a day without results stays pending and still yields none
+    assert run_backfill(spark, base, results, backends).count() == 0
+    assert {r.url for r in run_backfill(spark, base, results, backends, date="2024-01-01").collect()} == {"u1"}
+    L.land_by_date(rows([article("u3", content="Late day.", pos=4)], RAW_NEWS), base)
+    later = 4102444800
+    for folder, _, names in os.walk(os.path.join(base, "ticker=A", f"date={D1}")):
+        for name in names:
+            os.utime(os.path.join(folder, name), (later, later))
+    spark.catalog.clearCache()
+    assert {r.url for r in run_backfill(spark, base, results, backends, ticker="A").collect()} == {"u1", "u3"}
+    assert L.read_landed(spark, results, RESULTS).count() == 2
+
+
+def test_command_line(spark, rows, tmp_path):
+    from newsflow.__main__ import main
+
+    cards, pages = tables(rows)
+    where = {n: str(tmp_path / n) for n in ("cards", "pages", "raw", "results")}
+    cards.write.parquet(where["cards"]), pages.write.parquet(where["pages"])
+    main(["ingest", "--cards", where["cards"], "--pages", where["pages"], "--base", where["raw"], "--as-of", "2024-01-09"])
+    main(["analyze", "--base", where["raw"], "--results", where["results"], "--mode", "all"])
+    assert {r.summary for r in L.read_landed(spark, where["results"], RESULTS).collect()} >= {"one is good.", "two is good."}
