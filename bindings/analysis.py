@@ -246,7 +246,7 @@ def analyze_news(spark, sf_dir):
     return _out(analyze(news(spark, sf_dir), backends=BACKENDS))
 
 
-_ANALYZED = f"""kept AS (SELECT doc_id AS id, * FROM news WHERE {sql_strip('content')} <> ''),
+SQL_ANALYZED = f"""kept AS (SELECT doc_id AS id, * FROM news WHERE {sql_strip('content')} <> ''),
   texts AS (SELECT id, {sql_clean('content')} AS t FROM kept),
   {sql_chunks('texts')},
   {SQL_SUMMED},
@@ -277,7 +277,7 @@ _BACKFILL = f"""WITH RECURSIVE {NEWS},
   outs AS (SELECT ticker, date, max(doc_id) AS m FROM news WHERE lang <> 'en' GROUP BY ticker, date),
   chosen AS (SELECT ins.ticker, ins.date FROM ins LEFT JOIN outs USING (ticker, date)
              WHERE outs.m IS NULL OR ins.m > outs.m),
-  {_ANALYZED},
+  {SQL_ANALYZED},
   merged AS (
     SELECT ticker, date, url, pos, 'earlier' AS summary, 'unknown' AS sentiment, '' AS keywords, 0 AS src
     FROM news WHERE lang = 'de'
@@ -349,7 +349,7 @@ QUERIES = {
     ),
     "analyze_news": (
         analyze_news,
-        f"""WITH RECURSIVE {NEWS}, {_ANALYZED}
+        f"""WITH RECURSIVE {NEWS}, {SQL_ANALYZED}
         SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
           SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY pos) AS k FROM analyzed)
         WHERE k = 1""",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from bindings.tables import (
@@ -119,7 +117,7 @@ def union_by_name(spark, sf_dir):
 
 def lineage(spark, sf_dir):
     rows = news(spark, sf_dir).select("ticker", "url")
-    return L.with_lineage(rows, "run-1", F.lit(dt.datetime(2024, 1, 30, 12, 34, 56)))
+    return L.with_lineage(rows, "run-1", F.lit("2024-01-30 12:34:56").cast("timestamp_ntz"))
 
 
 def object_keys(spark, sf_dir):

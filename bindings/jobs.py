@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bindings.analysis import (
     BACKENDS,
+    SQL_ANALYZED,
     SQL_SUMMED,
     SQL_TOP,
     sql_chunks,
@@ -16,17 +17,19 @@ from bindings.analysis import (
 )
 from bindings.columns import SQL_STOP, sql_clean, sql_strip
 from bindings.curation import PAGE_SQL
-from bindings.tables import big, day, table
+from bindings.tables import NEWS, big, day, news, table
 from newsflow.functions.dates import iso_seconds
 from newsflow.plans.ingest import ingest_news as ingest
 from newsflow.plans.two_stage import two_stage_run as two_stages
 from newsflow.sources import landing as L
+from newsflow.schemas import RESULTS
 from newsflow.session import scratch_path
+from newsflow.streaming.continuous import start_analysis
 
 AS_OF = "2024-01-10"
 TODAY = dt.date.fromisoformat(AS_OF)
 CAP = 120
-FETCHED = dt.datetime(2024, 1, 30, 12, 0, 0)
+FETCHED = "2024-01-30 12:00:00"
 
 
 def _linked_events(spark, sf_dir):
@@ -74,11 +77,9 @@ def _fetched(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("url", "html", F.lit(200).alias("status_code"))
 
 
-_OPTIONS = {"as_of": TODAY, "run_id": "run-1", "fetched_at": F.lit, "max_articles": CAP}
-
-
 def _options():
-    return {**_OPTIONS, "fetched_at": F.lit(FETCHED)}
+    fetched_at = F.lit(FETCHED).cast("timestamp_ntz")
+    return {"as_of": TODAY, "run_id": "run-1", "fetched_at": fetched_at, "max_articles": CAP}
 
 
 def ingest_news(spark, sf_dir):
@@ -127,6 +128,29 @@ def two_stage_run(spark, sf_dir):
     return results.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
 
 
+def stream_analysis(spark, sf_dir):
+    """Documents land in two goes, and a stream analyses what is new after each."""
+    base, results, checkpoint = (scratch_path(spark, n) for n in ("raw", "results", "stream"))
+    rows = news(spark, sf_dir).select(
+        "url",
+        F.lit("").alias("title"),
+        "content",
+        F.lit(200).alias("status_code"),
+        F.lit("").alias("fetched_at"),
+        F.lit("run-1").alias("run_id"),
+        F.lit(None).cast("string").alias("error"),
+        "pos",
+        "ticker",
+        "date",
+        "lang",
+    )
+    for batch in ("lang <> 'en'", "lang = 'en'"):
+        L.land_by_date(rows.filter(batch).drop("lang"), base)
+        start_analysis(spark, base, results, checkpoint, BACKENDS).awaitTermination()
+    stored = L.read_landed(spark, results, RESULTS)
+    return stored.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
+
+
 _TWO_STAGES = f"""WITH RECURSIVE {_INGEST},
   day_news AS (SELECT row_number() OVER (ORDER BY ticker, url) AS id, * FROM (
     SELECT ticker, date, url, content, pos FROM added
@@ -152,4 +176,11 @@ QUERIES = {
         CAST(200 AS BIGINT) AS status_code, '2024-01-30T12:00:00' AS fetched_at, 'run-1' AS run_id, pos FROM added""",
     ),
     "two_stage_run": (two_stage_run, _TWO_STAGES),
+    "stream_analysis": (
+        stream_analysis,
+        f"""WITH RECURSIVE {NEWS}, {SQL_ANALYZED}
+        SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
+          SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY (lang = 'en'), pos) AS k
+          FROM analyzed JOIN (SELECT url, lang FROM news) USING (url)) WHERE k = 1""",
+    ),
 }

@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from newsflow.plans.analyze import Backends, run_backfill
 from newsflow.plans.ingest import ingest_news
 from newsflow.schemas import MAX_ARTICLES_PER_TICKER, RAW_NEWS
-from newsflow.session import build_session
+from newsflow.session import build_session, ship_packages
 from newsflow.sources.landing import read_landed
 
 
@@ -39,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session()
+    ship_packages(spark, os.path.dirname(os.path.abspath(__file__)))
     if args.stage == "ingest":
         ingest_news(
             spark.read.parquet(args.cards),

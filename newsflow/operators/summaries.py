@@ -88,12 +88,14 @@ def summarize_with_model(
     out: str = "summary",
     width: int = CHUNK_CHARS,
     spread: int | None = None,
+    keep_blank: bool = True,
 ) -> DataFrame:
     """``keys, summary`` by a model column (see ``model_column``).
 
     Model time far exceeds the cost of moving a chunk, so ``spread`` deals the chunks out
     evenly and the chunks of a long article are worked on by many tasks. A failing chunk
-    puts its error text in the summary.
+    puts its error text in the summary. ``keep_blank`` reads the articles once more for
+    those without text; switch it off where they are filtered already.
     """
     chunks = chunk_table(articles, keys, text, width)
     if spread:
@@ -106,5 +108,7 @@ def summarize_with_model(
     summaries = joined.groupBy(*keys).agg(
         strip(F.array_join(F.transform(ordered, lambda p: p["part"]), " ")).alias(out)
     )
+    if not keep_blank:
+        return summaries
     blank = articles.filter(clean(F.col(text)) == "").select(*keys, F.lit("").alias(out))
     return summaries.unionByName(blank)

@@ -57,7 +57,12 @@ def _model_summaries(rows: DataFrame, keys: Sequence[str], backends: Backends) -
     """
     summaries = materialise(
         summarize_with_model(
-            rows, keys, backends.summary_model, width=backends.chunk_chars, spread=backends.spread
+            rows,
+            keys,
+            backends.summary_model,
+            width=backends.chunk_chars,
+            spread=backends.spread,
+            keep_blank=False,
         ),
         "summaries",
     )

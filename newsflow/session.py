@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +35,25 @@ def build_session(app_name: str = "newsflow", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
+def ship_packages(spark: SparkSession, *folders: str) -> None:
+    """Make source packages importable in Python workers wherever they run.
+
+    Does nothing for what this application was sent before.
+    """
+    context = spark.sparkContext
+    for folder in folders:
+        path = os.path.abspath(folder)
+        if (context.applicationId, path) in _shipped:
+            continue
+        parent, name = os.path.split(path)
+        archive = os.path.join(tempfile.mkdtemp(prefix="newsflow-"), name)
+        context.addPyFile(shutil.make_archive(archive, "zip", parent, name))
+        _shipped.add((context.applicationId, path))
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path for intermediate tables in the folder all executors share.
 

@@ -89,6 +89,12 @@ def corpus(n=60):
     return [" ".join(["common"] * rng.randrange(1, 4) + rng.choices(words, k=rng.randrange(3, 30))) for _ in range(n)]
 
 
+def test_words_are_not_shuffled(spark):
+    df = frame(spark, ["a b"]).select(K.frequent_terms(F.col("content")), lexicon_label(F.col("content"), {"a": 1}))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
 def test_frequent_terms(spark):
     texts = corpus()
     got = frame(spark, texts).select("doc_id", K.frequent_terms(F.col("content"), 3, ()).alias("k")).orderBy("doc_id").collect()

@@ -120,6 +120,12 @@ def test_unreadable_page_is_an_error_row(spark, monkeypatch):
     assert (row.title, row.content, row.date) == (None, None, TODAY) and row.error
 
 
+def test_pages_are_parsed_once_and_without_a_shuffle(rows):
+    df = rows([("u", "<h1>x</h1>", 200)], "url string, html string, status_code int")
+    plan = P.to_articles(df, F.lit(TODAY))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
 def test_status_is_kept_unless_asked(rows):
     df = rows([("u", "<h1>x</h1>", 404)], "url string, html string, status_code int")
     assert P.to_articles(df, F.lit(TODAY)).count() == 1
