@@ -27,17 +27,18 @@ def zoned_text_to_utc(c: Column) -> Column:
     """
     text = F.replace(c, F.lit("Z"), F.lit("+00:00"))
 
-    def shifted(s: Column) -> Column:
-        part = lambda i: F.regexp_extract(s, ZONED_ISO, i)
-        clock = F.when(F.contains(part(2), F.lit(":")), part(2)).otherwise(
-            F.concat(part(2), F.lit(":00"))
+    def shifted(parts: Column) -> Column:
+        part = lambda i: F.get(parts, F.lit(i))
+        clock = F.when(F.contains(part(1), F.lit(":")), part(1)).otherwise(
+            F.concat(part(1), F.lit(":00"))
         )
-        wall = F.concat_ws(" ", part(1), clock).try_cast("timestamp_ntz")
-        minutes = part(4).try_cast("int") * 60 + F.coalesce(part(5).try_cast("int"), F.lit(0))
-        signed = F.when(part(3) == "-", -minutes).otherwise(minutes)
-        return F.when(s.rlike(ZONED_ISO), wall - F.make_dt_interval(mins=signed))
+        wall = F.concat_ws(" ", part(0), clock).try_cast("timestamp_ntz")
+        minutes = part(3).try_cast("int") * 60 + F.coalesce(part(4).try_cast("int"), F.lit(0))
+        return wall - F.make_dt_interval(mins=F.when(part(2) == "-", -minutes).otherwise(minutes))
 
-    return let(text, shifted)
+    # One match splits the text into its parts.
+    parts = F.split(F.regexp_replace(text, ZONED_ISO, "$1|$2|$3|$4|$5"), r"\|")
+    return F.when(text.rlike(ZONED_ISO), let(parts, shifted))
 
 
 def utc_to_local_date(ts_ntz: Column, zone: str = LOCAL_ZONE) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.schemas import NO_CONTENT, SENTIMENT_CHARS, UNKNOWN_LABEL
 
@@ -38,6 +38,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def unnest(df: DataFrame, array: Column, *keep: str) -> DataFrame:
+    """One row per element, as ``_at`` and ``_item``; rows with an empty array go.
+
+    The outer form with a filter after it: for the inner form the planner also tests the
+    array beforehand, and so works it out (UDFs included) a second time.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("_at", "_item"))
+    return rows.filter(F.col("_at").isNotNull())
+
+
 def strip(c: Column) -> Column:
     """Trim Unicode whitespace on both ends; null becomes the empty string."""
     return F.coalesce(F.trim(c, F.lit(WHITESPACE)), F.lit(""))

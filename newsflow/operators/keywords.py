@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.functions.text import STOP_WORDS, let, strip, term_counts, tokens
+from newsflow.functions.text import STOP_WORDS, let, strip, term_counts, tokens, unnest
 from newsflow.functions.vectors import cosine
 from newsflow.operators.ranking import first_n_per_key, ranked_join
 from newsflow.schemas import KEYWORD_SEPARATOR, KEYWORDS_TOP_K
@@ -41,8 +41,10 @@ def term_table(
     min_len: int = 2,
 ) -> DataFrame:
     """``keys, term, tf``: distinct words of every article with their counts."""
-    counted = F.inline(term_counts(tokens(F.col(text), stop_words, min_len)))
-    return articles.select(*keys, counted).select(*keys, "term", (-F.col("neg")).alias("tf"))
+    counted = term_counts(tokens(F.col(text), stop_words, min_len))
+    return unnest(articles, counted, *keys).select(
+        *keys, F.col("_item.term").alias("term"), (-F.col("_item.neg")).alias("tf")
+    )
 
 
 HOT_TERMS = 1000

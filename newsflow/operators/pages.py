@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.functions.dates import first_local_date
-from newsflow.functions.text import default_content, default_title, strip
+from newsflow.functions.text import default_content, default_title, strip, unnest
 from newsflow.functions.urls import absolute, is_news_link, listing_url
 from newsflow.operators.html_facts import article_facts, link_cards
 from newsflow.operators.ranking import dedup_links
@@ -121,7 +121,8 @@ def to_links(
 ) -> DataFrame:
     """One row per card: ``pos, href, url, datetime``; ``token`` filters on the URL."""
     kept = [c for c in listings.columns if c != html]
-    cards = listings.select(*kept, F.inline(_cards_udf(which)(F.col(html))))
+    read = listings.withColumn("_cards", _cards_udf(which)(F.col(html)))
+    cards = unnest(read, F.col("_cards"), *kept).select(*kept, "_item.*")
     links = cards.withColumn("url", absolute(F.col("href"), host))
     return links.filter(is_news_link(F.col("url"), token)) if token else links
 

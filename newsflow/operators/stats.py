@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsflow.functions.text import unnest
 from newsflow.operators.ranking import first_n_per_key
 from newsflow.schemas import DAG_STATUSES, LATEST_RUNS
 
@@ -158,7 +159,9 @@ def constraint_violations(
             )
         )
         parts.append(
-            df.select(F.inline(hits)).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("violations"))
+            unnest(df, hits)
+            .groupBy(F.col("_item.rule").alias("rule"), F.col("_item.key").alias("key"))
+            .agg(F.count(F.lit(1)).alias("violations"))
         )
     for keys in unique:
         name = ",".join(keys)

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.functions.text import clean, strip, summary_error_text
+from newsflow.functions.text import clean, strip, summary_error_text, unnest
 from newsflow.schemas import CHUNK_CHARS
 
 
@@ -54,8 +54,9 @@ def chunk_table(
     articles: DataFrame, keys: Sequence[str], text: str = "content", width: int = CHUNK_CHARS
 ) -> DataFrame:
     """One row per chunk: ``keys, chunk_pos, chunk``."""
-    return with_chunks(articles.select(*keys, text), text, width, "_chunks").select(
-        *keys, F.posexplode("_chunks").alias("chunk_pos", "chunk")
+    rows = with_chunks(articles.select(*keys, text), text, width, "_chunks")
+    return unnest(rows, F.col("_chunks"), *keys).select(
+        *keys, F.col("_at").alias("chunk_pos"), F.col("_item").alias("chunk")
     )
 
 

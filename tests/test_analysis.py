@@ -89,6 +89,14 @@ def corpus(n=60):
     return [" ".join(["common"] * rng.randrange(1, 4) + rng.choices(words, k=rng.randrange(3, 30))) for _ in range(n)]
 
 
+def test_texts_are_split_once(spark):
+    df = frame(spark, ["a b"])
+    plan = M.chunk_table(df, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    plan = K.term_table(df, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 def test_words_are_not_shuffled(spark):
     df = frame(spark, ["a b"]).select(K.frequent_terms(F.col("content")), lexicon_label(F.col("content"), {"a": 1}))
     plan = df._jdf.queryExecution().executedPlan().toString()

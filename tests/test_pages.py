@@ -126,6 +126,12 @@ def test_pages_are_parsed_once_and_without_a_shuffle(rows):
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
 
 
+def test_listings_are_parsed_once(rows):
+    df = rows([("T", LISTING)], "ticker string, html string")
+    plan = P.collect_links(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_status_is_kept_unless_asked(rows):
     df = rows([("u", "<h1>x</h1>", 404)], "url string, html string, status_code int")
     assert P.to_articles(df, F.lit(TODAY)).count() == 1
