@@ -5,9 +5,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from bindings.columns import _STATS, _stats, sql_clean, sql_strip
-from bindings.tables import LABELLED, LINKS, NEWS, big, day, labelled, links, news, second, table
-from newsflow.functions.text import STOP_WORDS, WORD_GAP, clean
+from bindings.columns import sql_clean, sql_strip
+from bindings.tables import LABELLED, NEWS, big, day, labelled, news, table
+from newsflow.functions.text import STOP_WORDS, WORD_GAP
 from newsflow.operators import keywords as K
 from newsflow.operators import stats as S
 from newsflow.operators import summaries as M

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 AS_OF = "2024-01-30"
 NEWS_HOST = "https://finance.yahoo.com/news/"
-STATUS = {"F": "success", "P": "failed", "O": "running"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,8 +34,8 @@ BODY_SCOPES = (
     ("div[itemprop=articleBody]",),
     ("section[data-test-locator=mega]",),
 )
-STORY_CARD = "section[data-testid=storyitem]"
-LIST_CARD = "li.js-stream-content"
+STORY_CARD = ("section", "data-testid", "storyitem")
+LIST_CARD = ("li", "js-stream-content")
 CARD_WRAPPER = "div.caas-content-wrapper"
 
 VOID = frozenset(
@@ -241,9 +241,9 @@ class _Listing(_Walk):
                 if card["datetime"] is None:
                     card["datetime"] = attrs["datetime"]
         levels = []
-        if tag == "section" and attrs.get("data-testid") == "storyitem":
+        if (tag, attrs.get(STORY_CARD[1])) == (STORY_CARD[0], STORY_CARD[2]):
             levels.append(0)
-        elif tag == "li" and "js-stream-content" in attrs.get("class", "").split():
+        elif tag == LIST_CARD[0] and LIST_CARD[1] in attrs.get("class", "").split():
             levels.append(1)
         elif tag == "a":
             if CARD_WRAPPER in around:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newsflow.functions.text import STOP_WORDS, base_text, clean, error_text, is_blank, strip
+from newsflow.functions.text import STOP_WORDS, base_text, error_text, is_blank, strip
 from newsflow.operators.incremental import (
     in_partitions,
     select_partitions,

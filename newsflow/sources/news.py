@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow.functions.text import strip
 from newsflow.operators.ranking import first_n_per_key
+from newsflow.schemas import RESULT_COLUMNS
 
 # ticker and date as the path of one file spells them
 LEGACY_RAW_PATH = r"([^/]+)/([^/]+)/news\.(?:csv|parquet)$"
@@ -58,6 +59,12 @@ def scan_legacy_news(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return normalise_news(with_path_keys(rows))
 
 
+def scan_legacy_results(spark: SparkSession, base: str) -> DataFrame:
+    """``{base}/{ticker}/{date}.csv``: earlier results, which carry no article key."""
+    schema = ", ".join(f"{c} string" for c in RESULT_COLUMNS)
+    return with_path_keys(scan_csv(spark, f"{base.rstrip('/')}/*/*.csv", schema), LEGACY_RESULT_PATH)
+
+
 def url_heads(
     news: DataFrame, top_n: int, keys: tuple[str, ...] = ("ticker", "date"), pos: str = "pos"
 ) -> DataFrame:

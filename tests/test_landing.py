@@ -90,6 +90,15 @@ def test_legacy_csv(spark, tmp_path):
     assert N.normalise_news(spark.createDataFrame([(1,)], "content int")).collect()[0].content == ""
 
 
+def test_legacy_results(spark, tmp_path):
+    folder = tmp_path / "results" / "A"
+    folder.mkdir(parents=True)
+    (folder / "2024-01-01.csv").write_text('summary,sentiment,keywords\n"s, one",positive,"a, b"\n')
+    (folder / "2024-01-02.csv").write_text("summary,sentiment,keywords\n")
+    got = N.scan_legacy_results(spark, str(tmp_path / "results")).collect()
+    assert [tuple(r) for r in got] == [("s, one", "positive", "a, b", "A", D1)]
+
+
 def test_files(spark, tmp_path):
     for name in ("b", "a", "c"):
         (tmp_path / name).write_text("x" * (ord(name) - 96))
