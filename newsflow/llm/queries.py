@@ -61,9 +61,42 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_language_model(spark, sf_dir):
+    from newsflow.llm import language_model
+
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op10_substrings(spark, sf_dir):
+    from newsflow.llm import substrings
+
+    return substrings.repeated_words_digest(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM win)
+  WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.p) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY word.doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
 QUERIES = {
+    "op2_language_model": (op2_language_model, None),
     "op4_byte_bpe": (op4_byte_bpe, None),
     "op5_secrets": (op5_secrets, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_token_counts": (op7_token_counts, None),
+    "op10_substrings": (op10_substrings, OP10_SQL),
 }
