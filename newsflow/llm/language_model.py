@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from newsflow.llm.blocks import below, by_shard, laid_out, ordered, pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from newsflow.llm.bytewords import Words, mix, slices
 
-PRIOR = 1000.0
+PRIOR = 100.0
 #: Keys of the marks at both ends of a text.
 _START, _END = np.uint64(0x5BD1E995A5A5A5A5), np.uint64(0xC6A4A7935BD1E995)
 _JOIN = np.uint64(0x9FB21C651E98DF25)

@@ -92,7 +92,14 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+def op1_near_dedup(spark, sf_dir):
+    from newsflow.llm import near_dedup
+
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 QUERIES = {
+    "op1_near_dedup": (op1_near_dedup, None),
     "op2_language_model": (op2_language_model, None),
     "op4_byte_bpe": (op4_byte_bpe, None),
     "op5_secrets": (op5_secrets, None),
