@@ -67,6 +67,26 @@ def op2_language_model(spark, sf_dir):
     return language_model.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op8_vector_dedup(spark, sf_dir):
+    from newsflow.llm import vector_dedup
+
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)"""
+
+
 def op10_substrings(spark, sf_dir):
     from newsflow.llm import substrings
 
@@ -105,5 +125,6 @@ QUERIES = {
     "op5_secrets": (op5_secrets, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_vector_dedup": (op8_vector_dedup, OP8_SQL),
     "op10_substrings": (op10_substrings, OP10_SQL),
 }
