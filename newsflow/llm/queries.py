@@ -87,6 +87,12 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM c LEFT JOIN n USING (vec_id)"""
 
 
+def op9_quality(spark, sf_dir):
+    from newsflow.llm import quality
+
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_substrings(spark, sf_dir):
     from newsflow.llm import substrings
 
@@ -126,5 +132,6 @@ QUERIES = {
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
     "op7_token_counts": (op7_token_counts, None),
     "op8_vector_dedup": (op8_vector_dedup, OP8_SQL),
+    "op9_quality": (op9_quality, None),
     "op10_substrings": (op10_substrings, OP10_SQL),
 }

@@ -36,6 +36,24 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: str, make: C
     return narrow.mapInArrow(run, schema)
 
 
+def add_columns(docs: DataFrame, text_col: str, columns: str, make: Callable) -> DataFrame:
+    """All columns of the rows, and behind them what ``make()(slice)`` works out.
+
+    The slice given to the function has the text alone, as column ``text``.
+    """
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(columns).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for batch in batches:
+            for part in slices(batch, at):
+                out = apply(pa.RecordBatch.from_arrays([part.column(at)], ["text"]))
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(as_array, out.values())], [*part.schema.names, *out])
+
+    return docs.mapInArrow(run, schema)
+
+
 def filter_rows(docs: DataFrame, text_col: str, make: Callable) -> DataFrame:
     """Whole rows, all columns unchanged, for which ``make()(slice)`` is true.
 
