@@ -9,6 +9,12 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_personal_data(spark, sf_dir):
+    from newsflow.llm import personal_data
+
+    return personal_data.report(personal_data.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op4_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -127,6 +133,7 @@ def op1_near_dedup(spark, sf_dir):
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, None),
     "op2_language_model": (op2_language_model, None),
+    "op3_personal_data": (op3_personal_data, None),
     "op4_byte_bpe": (op4_byte_bpe, None),
     "op5_secrets": (op5_secrets, None),
     "op6_decontaminate": (op6_decontaminate, OP6_SQL),
