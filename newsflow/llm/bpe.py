@@ -19,7 +19,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from newsflow.llm.tasks import map_texts, sha, texts_of
+from newsflow.llm.tasks import add_columns, map_texts, sha, texts_of
 
 #: Characters of text that one call of the tokenizer gets at most, if a safe boundary allows.
 PART = 1 << 16
@@ -78,6 +78,26 @@ def decode_ids(rows: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     return narrow.mapInArrow(run, f"{id_col} {narrow.schema[id_col].dataType.simpleString()}, bytes binary")
 
 
+def encode_rows(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """All columns but the text, then ``n_tokens``, ``ids`` and whether they decode to the text's bytes."""
+
+    def make():
+        tokenizer = encoding(rank_file, pattern)
+
+        def apply(batch):
+            texts = texts_of(batch)
+            ids = [encode(t, tokenizer) for t in texts]
+            return {
+                "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+                "ids": pa.array(ids, pa.list_(pa.int32())),
+                "exact": pa.array([tokenizer.decode_bytes(i) == t.encode() for i, t in zip(ids, texts)], pa.bool_()),
+            }
+
+        return apply
+
+    return add_columns(docs, text_col, "n_tokens long, ids array<int>, exact boolean", make).drop(text_col)
+
+
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode, decode and digest in one pass: ``id, n_tokens, ids_sha256, decoded_sha256``.
 

@@ -225,22 +225,23 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def redact(text: str | None) -> str | None:
         if not text:
             return text
-        spans = base_spans(text)
-        spans += [
+        base = base_spans(text)
+        spans = base + [
             (c["start"], c["end"], c["kind"])
             for c in candidates_of(text, frequency, refuted)
-            if c["bin"] >= lowest.get(c["stratum"], LAST_BIN + 1)
+            if c["bin"] >= lowest.get(c["stratum"], LAST_BIN + 1) and not any(a < c["end"] and c["start"] < b for a, b, _ in base)
         ]
         out, done = [], 0
         for start, end, kind in sorted(spans):
             if start >= done:
                 out += [text[done:start], mark.format(kind=kind)]
             done = max(done, end)
-        return "".join([*out, text[done:]]) if spans else text
+        return "".join([*out, text[done:]])
 
     def run(batches):
         for batch in batches:
-            texts = pa.array([redact(t) for t in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([texts if i == at else batch.column(i) for i in range(batch.num_columns)], schema=pa.schema([pa.field(f.name, pa.string()) if i == at else f for i, f in enumerate(batch.schema)]))
+            columns = list(batch.columns)
+            columns[at] = pa.array([redact(t) for t in columns[at].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return docs.mapInArrow(run, docs.schema)
