@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All columns of one document per class, the one with the smallest id.
 
-    Rows without an id are kept if no row with an id has their text.
+    Rows without an id cannot be told apart by one and all stay.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
     stays = found.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_stays")).distinct()
