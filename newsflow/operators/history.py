@@ -1,7 +1,9 @@
 """Run history: an append-only change log reduced to the current state.
 
-Each reduction is one hash aggregation with map-side combine, so the log of one busy run
-is folded where it lies before it travels. ``ord`` is a total order over the log.
+Each reduction is one aggregation with map-side combine, so the log of one busy run is
+folded where it lies before it travels. Values of any type are picked by an order, which
+Spark does by sorting; a hash of the key goes first, so that the sort compares numbers
+and not long texts. ``ord`` is a total order over the log.
 """
 
 from __future__ import annotations
@@ -10,8 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsflow.schemas import FILE_KEY_CHARS
-
 START, SUCCESS, FAILED = "running", "success", "failed"
 
 
@@ -91,17 +91,19 @@ def upsert_state(
     ord_cols: Sequence[str],
     fixed: Sequence[str],
     mutable: Sequence[str],
+    keep_unwritten: bool = False,
 ) -> DataFrame:
     """Insert, or on a duplicate key overwrite only the ``mutable`` columns.
 
-    ``fixed`` columns keep the value of the first insert.
+    ``fixed`` columns keep the value of the first insert. A null overwrites like any
+    value, unless ``keep_unwritten``: then a change without a column leaves it as it was.
     """
     order = F.struct(*[F.col(c) for c in ord_cols])
-    folded = log.groupBy(*keys).agg(
+    folded = log.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(
         F.min_by(F.struct(*fixed), order).alias("_fixed"),
-        F.max_by(F.struct(*mutable), order).alias("_mutable"),
+        *[_last_written(c, order) if keep_unwritten else F.max_by(F.col(c), order).alias(c) for c in mutable],
     )
-    return folded.select("*", "_fixed.*", "_mutable.*").drop("_fixed", "_mutable")
+    return folded.select("*", "_fixed.*").drop("_fixed", "_hash")
 
 
 def run_upsert(
@@ -112,7 +114,35 @@ def run_upsert(
     mutable: Sequence[str] = ("status", "started_at"),
 ) -> DataFrame:
     """One row per run; starting it again only renews status and start time."""
-    return upsert_state(log, [key], ord_cols, fixed, mutable)
+    return upsert_state(log, [key], ord_cols, fixed, mutable, keep_unwritten=True)
+
+
+def dag_run_state(
+    log: DataFrame,
+    ord_cols: Sequence[str],
+    key: str = "run_id",
+    fixed: Sequence[str] = ("dag_id", "execution_date", "tickers"),
+    reported: Sequence[str] = ("total_articles", "error_message"),
+    status: str = "status",
+    time: str = "changed_at",
+) -> DataFrame:
+    """One row per started run out of its starts and finishes.
+
+    The first start describes the run, a later one renews status and start time. A finish
+    sets status, completion time and what it reports; the rest stays as it was. A finish
+    of a run that was not started yet has no effect, also when the run starts later.
+    """
+    order = F.struct(*[F.col(c) for c in ord_cols])
+    started = F.col(status) == START
+    first = log.filter(started).groupBy(key).agg(F.min(order).alias("_first"))
+    counted = log.join(first, key).filter(order >= F.col("_first"))
+    return counted.groupBy(key).agg(
+        F.min_by(F.struct(*fixed), order).alias("_fixed"),
+        F.max_by(F.col(status), order).alias(status),
+        F.max_by(F.col(time), F.when(started, order)).alias("started_at"),
+        F.max_by(F.col(time), F.when(~started, order)).alias("completed_at"),
+        *[_last_written(c, order) for c in reported],
+    ).select("*", "_fixed.*").drop("_fixed")
 
 
 def file_upsert(
@@ -122,9 +152,12 @@ def file_upsert(
     path: str = "s3_key",
     fixed: Sequence[str] = ("s3_bucket", "s3_key"),
     mutable: Sequence[str] = ("file_size_bytes", "row_count", "uploaded_at"),
+    key_chars: int | None = None,
 ) -> DataFrame:
-    """One row per file; the path counts with its first 255 characters only."""
-    prefix = F.substring(F.col(path), 1, FILE_KEY_CHARS).alias("_prefix")
+    """One row per file. ``key_chars`` (255 in the stored schema's unique key) compares
+    the first characters of the path only; two longer paths are then one file."""
+    compared = F.col(path) if key_chars is None else F.substring(F.col(path), 1, key_chars)
+    prefix = compared.alias("_prefix")
     return upsert_state(log, [*keys, prefix], ord_cols, fixed, mutable).drop("_prefix")
 
 

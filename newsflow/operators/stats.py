@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.functions.text import unnest
 from newsflow.operators.ranking import first_n_per_key
-from newsflow.schemas import DAG_STATUSES, LATEST_RUNS
+from newsflow.schemas import DAG_STATUSES
 
 
 # latest_runs broadcasts at most the square of this many rows.
@@ -59,9 +59,10 @@ def latest_runs(
     crawls: DataFrame,
     analyses: DataFrame,
     tie_break: Sequence[Column],
-    limit: int = LATEST_RUNS,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Newest crawls with their analyses, ``limit`` rows; ``tie_break`` orders analyses.
+    """Newest crawls with their analyses; ``tie_break`` orders analyses. All of them, or
+    the first ``limit`` rows (the stored report shows ``LATEST_RUNS``).
 
     A left join keeps every crawl, so the first ``limit`` result rows belong to the first
     ``limit`` crawls, and no crawl shows more than ``limit`` analyses. Both cuts are made
@@ -69,35 +70,33 @@ def latest_runs(
     and neither table is shuffled as a whole. For a usual limit that bound is small
     enough to broadcast.
     """
-    bounded = F.broadcast if limit <= BROADCAST_LIMIT else lambda df: df
-    newest = crawls.select(
-        "id", "ticker", "crawl_date", "article_count", "status", "created_at"
-    ).orderBy(F.desc("created_at"), F.col("id")).limit(limit)
-    ids = bounded(newest.select(F.col("id").alias("crawling_history_id")))
-    matched = analyses.join(ids, "crawling_history_id", "left_semi").withColumn(
-        "_order", F.struct(*tie_break)
-    )
-    few = first_n_per_key(matched, ["crawling_history_id"], [F.col("_order")], limit).select(
+    bounded = F.broadcast if limit is not None and limit <= BROADCAST_LIMIT else lambda df: df
+    newest = crawls.select("id", "ticker", "crawl_date", "article_count", "status", "created_at")
+    matched = analyses.withColumn("_order", F.struct(*tie_break))
+    if limit is not None:
+        newest = newest.orderBy(F.desc("created_at"), F.col("id")).limit(limit)
+        ids = bounded(newest.select(F.col("id").alias("crawling_history_id")))
+        matched = matched.join(ids, "crawling_history_id", "left_semi")
+        matched = first_n_per_key(matched, ["crawling_history_id"], [F.col("_order")], limit)
+    few = matched.select(
         "crawling_history_id",
         "sentiment_avg",
         F.col("status").alias("analysis_status"),
         F.col("created_at").alias("analysis_time"),
         "_order",
     )
-    return (
-        newest.join(bounded(few), newest["id"] == few["crawling_history_id"], "left")
-        .orderBy(F.desc("created_at"), F.col("id"), F.col("_order").asc_nulls_last())
-        .limit(limit)
-        .select(
-            "ticker",
-            "crawl_date",
-            "article_count",
-            F.col("status").alias("crawl_status"),
-            "sentiment_avg",
-            "analysis_status",
-            F.col("created_at").alias("crawl_time"),
-            "analysis_time",
-        )
+    shown = newest.join(bounded(few), newest["id"] == few["crawling_history_id"], "left").orderBy(
+        F.desc("created_at"), F.col("id"), F.col("_order").asc_nulls_last()
+    )
+    return (shown if limit is None else shown.limit(limit)).select(
+        "ticker",
+        "crawl_date",
+        "article_count",
+        F.col("status").alias("crawl_status"),
+        "sentiment_avg",
+        "analysis_status",
+        F.col("created_at").alias("crawl_time"),
+        "analysis_time",
     )
 
 
@@ -214,6 +213,13 @@ def sentiment_stats(
     )
 
 
+def results_with_articles(
+    results: DataFrame, articles: DataFrame, keys: Sequence[str] = ("ticker", "date", "url"), columns: Sequence[str] = ("content",)
+) -> DataFrame:
+    """Results with columns of the article they were made from; results without one are left out."""
+    return results.join(articles.select(*keys, *columns), list(keys))
+
+
 def keyword_count(
     rows: DataFrame,
     keys: Sequence[str] = ("ticker", "date"),
@@ -226,3 +232,13 @@ def keyword_count(
         return words.groupBy(*keys).agg(F.count_distinct("_word").alias("keyword_count"))
     total = F.sum(F.coalesce(F.array_size(keywords), F.lit(0)))
     return rows.groupBy(*keys).agg(total.alias("keyword_count"))
+
+
+def keyword_counts(
+    rows: DataFrame, keys: Sequence[str] = ("ticker", "date"), keywords: str = "keywords"
+) -> DataFrame:
+    """``keywords`` and ``different`` per partition from one pass over the rows: counts per
+    word first, so that a busy partition is folded before it meets in one task."""
+    words = rows.select(*keys, F.explode_outer(keywords).alias("_word"))
+    per_word = words.groupBy(*keys, "_word").agg(F.count("_word").alias("_n"))
+    return per_word.groupBy(*keys).agg(F.sum("_n").alias("keywords"), F.count("_word").alias("different"))

@@ -46,4 +46,5 @@ class HistoryStore:
         if self.path:
             rows.write.mode(mode).parquet(f"{self.path}/{table}")
         else:
-            rows.write.format("jdbc").options(dbtable=table, **self.jdbc).mode(mode).save()
+            # Overwriting keeps the table with its keys and defaults.
+            rows.write.format("jdbc").options(dbtable=table, truncate="true", **self.jdbc).mode(mode).save()
