@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsflow.functions.dates import not_before
 from newsflow.functions.text import strip
 from newsflow.operators.ranking import first_n_per_key, first_per_key
-from newsflow.schemas import STOP_LOOKBACK_DAYS, STOP_TOP_N
+from newsflow.schemas import LANDING_ORDER, STOP_LOOKBACK_DAYS, STOP_TOP_N
 
 
 def last_dates(partitions: DataFrame, ticker: str = "ticker", date: str = "date") -> DataFrame:
@@ -47,18 +47,21 @@ def stop_set(
     today: Column | dt.date,
     lookback_days: int = STOP_LOOKBACK_DAYS,
     top_n: int = STOP_TOP_N,
-    pos: str = "pos",
+    order: Sequence[str] = LANDING_ORDER,
 ) -> DataFrame:
     """The ``top_n`` most recent distinct URLs of every ticker, ``rank`` 1 the newest.
 
-    Only the head of each recent day is looked at, newest day first, in landing order.
+    Only the head of each recent day is looked at, newest day first, in landing order:
+    earlier runs first, since positions restart with every listing. Columns of ``order``
+    that the table lacks are left out.
     """
+    order = [c for c in order if c in landed.columns]
     today = today if isinstance(today, Column) else F.lit(today)
-    recent = landed.select("ticker", "date", "url", pos).filter(
+    recent = landed.select("ticker", "date", *dict.fromkeys(["url", *order])).filter(
         F.col("url").isNotNull() & (F.col("date") >= F.date_sub(today, lookback_days))
     )
-    heads = first_n_per_key(recent, ["ticker", "date"], [F.col(pos)], top_n)
-    newest_first = [F.desc("date"), F.col(pos)]
+    heads = first_n_per_key(recent, ["ticker", "date"], [F.col(c) for c in order], top_n, coarse=True)
+    newest_first = [F.desc("date"), *[F.col(c) for c in order]]
     distinct = first_per_key(heads.withColumn("url", strip(F.col("url"))), ["ticker", "url"], newest_first)
     return first_n_per_key(distinct, ["ticker"], newest_first, top_n, rank_col="rank")
 
@@ -144,5 +147,14 @@ def select_partitions(
 
 
 def in_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
-    """Rows of the chosen partitions only."""
-    return rows.join(partitions.select("ticker", "date"), ["ticker", "date"], "left_semi")
+    """Rows of the chosen partitions only.
+
+    The first and last day of the choice are fetched and stand as a filter on both sides.
+    On the rows it prunes days when the plan is made; on the choice it is the selective
+    filter without which Spark does not prune partitions at run time, which helps when
+    one odd date stretches the range. ``partitions`` is read twice: give a written table.
+    """
+    chosen = partitions.select("ticker", "date")
+    first, last = chosen.agg(F.min("date"), F.max("date")).first()
+    between = F.col("date").between(F.lit(first), F.lit(last))
+    return rows.filter(between).join(chosen.filter(between), ["ticker", "date"], "left_semi")

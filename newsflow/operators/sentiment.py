@@ -11,9 +11,9 @@ from newsflow.schemas import SENTIMENT_CHARS, UNKNOWN_LABEL
 
 
 def lexicon_label(
-    text: Column, weights: Mapping[str, float], chars: int = SENTIMENT_CHARS
+    text: Column, weights: Mapping[str, float], chars: int | None = None
 ) -> Column:
-    """Sign of the summed word weights over the first ``chars`` characters.
+    """Sign of the summed word weights over the text, or its first ``chars`` characters.
 
     The words stand in the plan as one hash set per weight, so the text is neither
     exploded nor joined.
@@ -38,7 +38,7 @@ def lexicon_label(
             )
         )
 
-    return let(truncate(strip(text), chars), label)
+    return let(strip(text) if chars is None else truncate(strip(text), chars), label)
 
 
 def model_label(

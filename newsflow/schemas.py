@@ -11,11 +11,11 @@ NO_CONTENT = "본문 없음"
 UNKNOWN_LABEL = "unknown"
 LOCAL_ZONE = "Asia/Seoul"
 CHUNK_CHARS = 1100
-SUMMARY_MIN_TOKENS = 30
-SUMMARY_MAX_TOKENS = 130
 SENTIMENT_CHARS = 512
 KEYWORDS_TOP_K = 5
 KEYWORD_SEPARATOR = ", "
+LISTED_ERROR = "not fetched"
+SECOND_FETCH = "browser"
 STOP_TOP_N = 15
 STOP_LOOKBACK_DAYS = 7
 MAX_ARTICLES_PER_TICKER = 200
@@ -23,12 +23,12 @@ MIN_LEN_FOR_OK = 120
 LATEST_RUNS = 100
 LIST_FILES_MAX = 1000
 FILE_KEY_CHARS = 255
-RUN_STATUSES = ("pending", "running", "success", "failed")
 DAG_STATUSES = ("pending", "running", "success", "failed", "partial")
-FILE_TYPES = ("raw", "result")
 
 RESULT_COLUMNS = ("summary", "sentiment", "keywords")
 PARTITION_KEYS = ("ticker", "date")
+# The order in which rows of a day were landed; positions restart with every listing.
+LANDING_ORDER = ("fetched_at", "run_id", "pos", "url")
 
 RAW_PAGES = (
     "url STRING, html STRING, status_code INT, fetch_kind STRING, fetched_at TIMESTAMP"
@@ -39,8 +39,8 @@ RAW_NEWS = (
     "run_id STRING, error STRING, pos BIGINT, ticker STRING, date DATE"
 )
 RESULTS = (
-    "url STRING, pos BIGINT, summary STRING, sentiment STRING, keywords STRING, "
-    "ticker STRING, date DATE"
+    "url STRING, fetched_at STRING, run_id STRING, pos BIGINT, summary STRING, "
+    "sentiment STRING, keywords STRING, ticker STRING, date DATE"
 )
 CRAWLING_HISTORY = (
     "id BIGINT, run_id STRING, ticker STRING, crawl_date DATE, article_count INT, "

@@ -57,29 +57,52 @@ def ship_packages(spark: SparkSession, *folders: str) -> None:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path for intermediate tables in the folder all executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that
-    is unset (tests, local runs) is a folder of our own made and set.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where that is
+    unset, a local session (tests) gets a folder of its own; any other one is refused, as
+    its executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
         if not current:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsflow-"))
             current = spark.sparkContext.getCheckpointDir()
         root = current
     return f"{root.rstrip('/')}/newsflow/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one job, written once and read back.
 
     Used where two later steps need the same expensive rows, so that they are neither
-    computed twice nor lost with an executor.
+    computed twice nor lost with an executor. ``drop`` deletes them once the job's output
+    is written; nothing may read them afterwards.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, purpose)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = scratch_path(self.spark, purpose)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back, for as long as the
+    caller's result may be read."""
+    return Scratch(df.sparkSession).keep(df, purpose)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newsflow.schemas import LIST_FILES_MAX
-
 
 def all_files(spark: SparkSession, base: str, glob: str | None = None) -> DataFrame:
     """``path, size, modified`` of every file below ``base``; contents are not read."""
@@ -19,10 +17,11 @@ def all_files(spark: SparkSession, base: str, glob: str | None = None) -> DataFr
 
 
 def file_inventory(
-    spark: SparkSession, base: str, max_keys: int = LIST_FILES_MAX, glob: str | None = None
+    spark: SparkSession, base: str, max_keys: int | None = None, glob: str | None = None
 ) -> DataFrame:
-    """The first page of a listing: at most ``max_keys`` files in path order."""
-    return all_files(spark, base, glob).orderBy("path").limit(max_keys)
+    """All files below a folder; with ``max_keys`` the first page, in path order."""
+    files = all_files(spark, base, glob)
+    return files if max_keys is None else files.orderBy("path").limit(max_keys)
 
 
 def find_file(spark: SparkSession, path: str) -> DataFrame:

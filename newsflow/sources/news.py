@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsflow.functions.text import strip
 from newsflow.operators.ranking import first_n_per_key
-from newsflow.schemas import RESULT_COLUMNS
+from newsflow.schemas import LANDING_ORDER, RAW_PAGES, RESULT_COLUMNS
 
 # ticker and date as the path of one file spells them
 LEGACY_RAW_PATH = r"([^/]+)/([^/]+)/news\.(?:csv|parquet)$"
@@ -66,15 +66,24 @@ def scan_legacy_results(spark: SparkSession, base: str) -> DataFrame:
 
 
 def url_heads(
-    news: DataFrame, top_n: int, keys: tuple[str, ...] = ("ticker", "date"), pos: str = "pos"
+    news: DataFrame,
+    top_n: int,
+    keys: tuple[str, ...] = ("ticker", "date"),
+    order: tuple[str, ...] = LANDING_ORDER,
 ) -> DataFrame:
-    """First URLs of every partition, trimmed, without nulls. Only keys, position and URL
-    are read."""
-    urls = news.select(*keys, "url", pos).filter(F.col("url").isNotNull())
-    heads = first_n_per_key(urls, list(keys), [F.col(pos)], top_n, rank_col="rank")
+    """First URLs of every partition in landing order, trimmed, without nulls. Only keys,
+    URL and the columns of the order are read."""
+    order = [c for c in order if c in news.columns]
+    urls = news.select(*dict.fromkeys([*keys, "url", *order])).filter(F.col("url").isNotNull())
+    heads = first_n_per_key(urls, list(keys), [F.col(c) for c in order], top_n, rank_col="rank", coarse=True)
     return heads.withColumn("url", strip(F.col("url")))
 
 
+def scan_pages(spark: SparkSession, base: str) -> DataFrame:
+    """Fetched pages; columns that a fetcher did not write are null."""
+    return spark.read.schema(RAW_PAGES).parquet(base)
+
+
 def ticker_dates(news: DataFrame, ticker: str = "ticker", date: str | Column = "date") -> DataFrame:
     """Distinct (ticker, date), sorted."""
     day = F.col(date) if isinstance(date, str) else date
