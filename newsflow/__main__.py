@@ -10,8 +10,8 @@ import os
 from pyspark.sql import functions as F
 
 from newsflow.plans.analyze import Backends, run_backfill
-from newsflow.plans.ingest import ingest_news
-from newsflow.schemas import MAX_ARTICLES_PER_TICKER, RAW_NEWS
+from newsflow.plans.ingest import ingest_listings, ingest_news
+from newsflow.schemas import RAW_NEWS
 from newsflow.session import build_session, ship_packages
 from newsflow.sources.landing import read_landed
 
@@ -20,12 +20,16 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="newsflow")
     stages = top.add_subparsers(dest="stage", required=True)
     ingest = stages.add_parser("ingest", help="land new articles")
-    ingest.add_argument("--cards", required=True, help="parquet: ticker, pos, href, datetime")
+    links = ingest.add_mutually_exclusive_group(required=True)
+    links.add_argument("--listings", help="parquet: ticker, html of fetched listing pages")
+    links.add_argument("--cards", help="parquet: ticker, pos, href, datetime")
     ingest.add_argument("--pages", required=True, help="parquet: url, html, status_code")
     ingest.add_argument("--base", required=True, help="landed news")
     ingest.add_argument("--run-id", default="local")
     ingest.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
-    ingest.add_argument("--max-articles", type=int, default=MAX_ARTICLES_PER_TICKER)
+    ingest.add_argument("--max-articles", type=int, help="links per ticker at most; default all")
+    ingest.add_argument("--nested-p", action="store_true", help="an open paragraph holds what follows")
+    ingest.add_argument("--land-errors", action="store_true", help="land failed links instead of quarantining them")
     ingest.add_argument("--rewrite", action="store_true", help="merge touched days into fresh files")
     analyze = stages.add_parser("analyze", help="analyse landed articles")
     analyze.add_argument("--base", required=True)
@@ -33,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     analyze.add_argument("--ticker")
     analyze.add_argument("--date", help="YYYY-MM-DD; skips the pending test")
     analyze.add_argument("--mode", choices=["all", "pending"], default="pending")
-    analyze.add_argument("--weights", help="JSON file of word weights for the sentiment")
+    analyze.add_argument("--weights", required=True, help="JSON file of word weights for the sentiment")
     return top
 
 
@@ -42,22 +46,23 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     ship_packages(spark, os.path.dirname(os.path.abspath(__file__)))
     if args.stage == "ingest":
-        ingest_news(
-            spark.read.parquet(args.cards),
+        ingest = ingest_listings if args.listings else ingest_news
+        ingest(
+            spark.read.parquet(args.listings or args.cards),
             spark.read.parquet(args.pages),
             read_landed(spark, args.base, RAW_NEWS),
             args.base,
-            args.rewrite,
+            rewrite=args.rewrite,
+            land_errors=args.land_errors,
+            nested_p=args.nested_p,
             as_of=args.as_of,
             run_id=args.run_id,
             fetched_at=F.current_timestamp(),
             max_articles=args.max_articles,
-        )
+        ).drop()
     else:
-        weights = {}
-        if args.weights:
-            with open(args.weights, encoding="utf-8") as file:
-                weights = json.load(file)
+        with open(args.weights, encoding="utf-8") as file:
+            weights = json.load(file)
         run_backfill(
             spark,
             args.base,

@@ -152,12 +152,14 @@ def best_fetch(
     fields: Sequence[str] = ("title", "content", "date"),
     min_len: int = MIN_LEN_FOR_OK,
     site: str = SITE_TOKEN,
+    of_first: Sequence[str] = (),
 ) -> DataFrame:
     """One row per URL from a first fetch and an optional second one.
 
     The second fetch counts only for a thin page of the site, and only when its content
-    is strictly longer; it then gives content and date, and its title unless empty. One
-    aggregation folds both attempts, so no self join is needed.
+    is strictly longer; it then gives content and date, and its title unless empty;
+    ``of_first`` fields stay those of the first. One (sort-based) aggregation folds both
+    attempts, so no self join is needed.
     """
     values = F.struct(*[F.col(f) for f in fields])
     first = F.min_by(values, F.when(~is_second, F.col(pos)))
@@ -171,6 +173,9 @@ def best_fetch(
     )
     chosen = {}
     for field in fields:
+        if field in of_first:
+            chosen[field] = a[field]
+            continue
         second_value = F.coalesce(b[field], a[field]) if field == "date" else b[field]
         if field == "title":
             second_value = F.when(b[field] != "", b[field]).otherwise(a[field])

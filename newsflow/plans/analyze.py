@@ -20,12 +20,13 @@ from newsflow.operators.summaries import leading_sentence, summarize_in_rows, su
 from newsflow.schemas import (
     CHUNK_CHARS,
     KEYWORDS_TOP_K,
+    LANDING_ORDER,
     NO_CONTENT,
     PARTITION_KEYS,
     RAW_NEWS,
     RESULTS,
 )
-from newsflow.session import materialise
+from newsflow.session import Scratch, materialise
 from newsflow.sources.landing import read_landed, write_partitions
 
 
@@ -77,8 +78,12 @@ def analyze_articles(
     keys: Sequence[str] = ("ticker", "date", "url"),
     skip_sentinel: bool = False,
 ) -> DataFrame:
-    """``keys, pos, summary, sentiment, keywords`` of every article with content."""
-    rows = articles.select(*keys, "pos", strip(F.col("content")).alias("content"))
+    """``keys, pos, summary, sentiment, keywords`` of every article with content, and the
+    landing columns the articles have."""
+    if backends.sentiment_model is None and not backends.sentiment_weights:
+        raise ValueError("sentiment needs word weights or a model")
+    order = [c for c in LANDING_ORDER if c in articles.columns and c not in keys]
+    rows = articles.select(*keys, *order, strip(F.col("content")).alias("content"))
     rows = rows.filter(~is_blank(F.col("content")))
     if skip_sentinel:
         rows = rows.filter(F.col("content") != NO_CONTENT)
@@ -87,7 +92,7 @@ def analyze_articles(
             rows, backends.summarise, width=backends.chunk_chars
         )
     else:
-        summed = _model_summaries(rows, [*keys, "pos"], backends)
+        summed = _model_summaries(rows, [*keys, *order], backends)
     summed = summed.withColumn("_base", base_text(F.col("summary"), F.col("content")))
     base = F.col("_base")
     if backends.sentiment_model is None:
@@ -106,7 +111,7 @@ def analyze_articles(
         keywords = joined_keywords(words(base))
     return summed.select(
         *keys,
-        "pos",
+        *order,
         strip(F.col("summary")).alias("summary"),
         strip(label).alias("sentiment"),
         strip(keywords).alias("keywords"),
@@ -118,10 +123,16 @@ def merge_results(
     current: DataFrame,
     dedup: Sequence[str] = ("summary",),
     keys: Sequence[str] = PARTITION_KEYS,
-    pos: str = "pos",
+    order: Sequence[str] = LANDING_ORDER,
 ) -> DataFrame:
-    """Earlier and new results; within a partition the first row of a summary stays."""
-    return dedup_keep_first(previous, current, [*keys, *dedup] if dedup else (), pos)
+    """Earlier and new results; within a partition the first row of a summary stays.
+
+    Without ``dedup`` columns the article is the key, so that merging the same results
+    again changes nothing.
+    """
+    compared = [*keys, *(dedup or ("url",))]
+    texts = {c: F.coalesce(F.col(c), F.lit("")) for c in dedup if dict(current.dtypes)[c] == "string"}
+    return dedup_keep_first(previous, current, compared, order, texts)
 
 
 def analyze_news(
@@ -149,24 +160,18 @@ def run_backfill(
     """Analyse stored news into a stored result table; returns the rows written.
 
     What is pending follows from the write times of the files on both sides. The merged
-    rows are staged before they replace their partitions.
+    rows are staged before they replace their partitions, and the staged copy is deleted.
     """
+    scratch = Scratch(spark)
     news = read_landed(spark, base, RAW_NEWS)
     previous = read_landed(spark, results, RESULTS)
-    merged = analysis_backfill(
-        news,
-        stored_partition_stats(news),
-        stored_partition_stats(previous),
-        previous,
-        backends,
-        ticker,
-        date,
-        mode,
-        dedup,
+    chosen = materialise(
+        select_partitions(stored_partition_stats(news), stored_partition_stats(previous), ticker, date, mode), "selection"
     )
-    staged = materialise(merged, "results")
-    write_partitions(staged, results, "overwrite")
-    return staged
+    merged = analyze_news(in_partitions(news, chosen), in_partitions(previous, chosen), backends, dedup)
+    write_partitions(scratch.keep(merged, "results"), results, "overwrite")
+    scratch.drop()
+    return in_partitions(read_landed(spark, results, RESULTS), chosen)
 
 
 def analysis_backfill(
@@ -184,7 +189,7 @@ def analysis_backfill(
 
     ``catalog`` and ``outputs`` are partition statistics (``row_count``, ``mtime``).
     """
-    chosen = select_partitions(catalog, outputs, ticker, date, mode)
+    chosen = materialise(select_partitions(catalog, outputs, ticker, date, mode).select(*PARTITION_KEYS), "selection")
     rows = in_partitions(news, chosen)
     if previous is not None:
         previous = in_partitions(previous, chosen)

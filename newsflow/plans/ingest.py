@@ -9,30 +9,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsflow.functions.dates import date_guess, local_date, not_before
 from newsflow.functions.urls import absolute
 from newsflow.operators.incremental import drop_stopped, last_dates, since_last, stop_set
-from newsflow.operators.pages import to_articles
+from newsflow.operators.pages import best_fetch, collect_links, to_articles
 from newsflow.operators.ranking import cap_per_ticker, dedup_links
 from newsflow.schemas import (
+    LISTED_ERROR,
     LOCAL_ZONE,
-    MAX_ARTICLES_PER_TICKER,
+    NEWS_TOKEN,
+    SECOND_FETCH,
     SITE_HOST,
     STOP_LOOKBACK_DAYS,
     STOP_TOP_N,
 )
 from newsflow.session import materialise
-from newsflow.sources.landing import land_by_date, with_lineage
+from newsflow.sources.landing import Landing, land_by_date, with_lineage
 
 
 def new_links(
     cards: DataFrame,
     landed: DataFrame,
     today: Column | dt.date,
-    max_articles: int = MAX_ARTICLES_PER_TICKER,
+    max_articles: int | None = None,
     lookback_days: int = STOP_LOOKBACK_DAYS,
     stop_top_n: int = STOP_TOP_N,
     host: str = SITE_HOST,
     card_zone: str | None = None,
 ) -> DataFrame:
-    """``ticker, pos, url, date_guess, last_date`` of the links worth fetching.
+    """``ticker, pos, url, date_guess, last_date`` of the links worth fetching: all of
+    them, or the first ``max_articles`` of every ticker.
 
     ``cards`` has ``ticker, pos, href, datetime``. Card dates are UTC dates as written;
     ``card_zone`` turns zoned card times into local dates first, to compare like with
@@ -49,7 +52,21 @@ def new_links(
     last = last_dates(landed.select("ticker", "date"))
     recent = since_last(dedup_links(links), last, "date_guess", keep_null=True)
     fresh = drop_stopped(recent, stop_set(landed, today, lookback_days, stop_top_n))
-    return cap_per_ticker(fresh, max_articles)
+    return fresh if max_articles is None else cap_per_ticker(fresh, max_articles)
+
+
+def one_article_per_url(articles: DataFrame) -> DataFrame:
+    """One row per URL out of all its fetches, by a total order over what they hold.
+
+    A fetch that could be read comes before one that could not, an earlier one before a
+    later one. ``fetch_kind`` marks second fetches, which count as in ``best_fetch``.
+    """
+    fetched_at = [F.col("fetched_at")] if "fetched_at" in articles.columns else []
+    order = F.struct(F.col("error").isNotNull(), *fetched_at, "status_code", F.xxhash64("title", "content"), "title", "content")
+    kind = F.col("fetch_kind") if "fetch_kind" in articles.columns else F.lit(None).cast("string")
+    second = F.coalesce(kind == SECOND_FETCH, F.lit(False))
+    fields = ("title", "content", "date", "status_code", "error")
+    return best_fetch(articles.withColumn("_order", order), second, pos="_order", fields=fields, of_first=("status_code", "error")).drop("used_second")
 
 
 def ingest_rows(
@@ -59,26 +76,32 @@ def ingest_rows(
     as_of: dt.date,
     run_id: str,
     fetched_at: Column,
-    max_articles: int = MAX_ARTICLES_PER_TICKER,
+    max_articles: int | None = None,
     zone: str = LOCAL_ZONE,
-    land_errors: bool = False,
+    nested_p: bool = False,
     **link_options,
 ) -> DataFrame:
-    """Articles to land. ``pages`` has ``url, html, status_code``.
+    """One row per wanted link. ``pages`` has ``url, html, status_code``, and
+    ``fetch_kind`` and ``fetched_at`` where there are several fetches of a URL.
 
-    All cheap filters come before the page join and the extraction: only pages that are
-    still wanted are parsed. A page table much larger than the link table is filtered by
-    the links before it is shuffled (broadcast or run-time bloom filter, by size).
+    A link whose page was not fetched or cannot be read is a row with its ``error``. All
+    cheap filters come before the page join and the extraction: only pages that are still
+    wanted are parsed. A page table much larger than the link table is filtered by the
+    links before it is shuffled (broadcast or run-time bloom filter, by size).
     """
     links = new_links(cards, landed, F.lit(as_of), max_articles, **link_options)
-    # Both joins below read the capped links, so they are worked out and written once.
+    # Both joins below read the links, so they are worked out and written once.
     links = materialise(links, "links")
     # A page is parsed once even when several tickers link to it.
     wanted = pages.join(links.select("url"), "url", "left_semi")
-    articles = to_articles(wanted, F.lit(as_of), zone=zone)
-    if not land_errors:
-        articles = articles.filter(F.col("error").isNull())
-    rows = links.select("ticker", "pos", "url", "last_date").join(articles, "url")
+    articles = one_article_per_url(to_articles(wanted, F.lit(as_of), zone=zone, nested_p=nested_p))
+    found = articles.withColumn("_found", F.lit(True))
+    rows = links.select("ticker", "pos", "url", "last_date").join(found, "url", "left")
+    missing = F.col("_found").isNull()
+    rows = rows.withColumns({
+        "date": F.when(missing, F.lit(as_of)).otherwise(F.col("date")),
+        "error": F.when(missing, LISTED_ERROR).otherwise(F.col("error")),
+    })
     kept = rows.filter(not_before(F.col("date"), F.col("last_date"), keep_null=False))
     return with_lineage(kept, run_id, fetched_at).select(
         "url",
@@ -95,7 +118,24 @@ def ingest_rows(
 
 
 def ingest_news(
-    cards: DataFrame, pages: DataFrame, landed: DataFrame, base: str, rewrite: bool = False, **options
-) -> DataFrame:
-    """Run the ingest and land its rows below ``base``; returns what was added."""
-    return land_by_date(ingest_rows(cards, pages, landed, **options), base, rewrite)
+    cards: DataFrame,
+    pages: DataFrame,
+    landed: DataFrame,
+    base: str,
+    rewrite: bool = False,
+    land_errors: bool = False,
+    **options,
+) -> Landing:
+    """Run the ingest and land its rows below ``base``.
+
+    Rows with an error land too if ``land_errors`` is set, and go to quarantine otherwise.
+    """
+    rows = ingest_rows(cards, pages, landed, **options)
+    held = None if land_errors else F.col("error").isNotNull()
+    return land_by_date(rows, base, rewrite, held=held, why=F.col("error"))
+
+
+def ingest_listings(listings: DataFrame, pages: DataFrame, landed: DataFrame, base: str, which: str = "story", **options) -> Landing:
+    """The ingest from fetched listing pages (``ticker, html``): cards, links, articles."""
+    cards = collect_links(listings, which=which, token=NEWS_TOKEN if which == "fallback" else None)
+    return ingest_news(cards.select("ticker", "pos", "href", "datetime"), pages, landed, base, **options)

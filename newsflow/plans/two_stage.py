@@ -1,30 +1,32 @@
-"""Ingest, then analysis of what the ingest touched."""
+"""The whole run: listing pages or cards to articles, then analysis of all pending days."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from newsflow.plans.analyze import Backends, merge_results, analyze_articles
-from newsflow.plans.ingest import ingest_news
-from newsflow.schemas import RAW_NEWS
-from newsflow.operators.incremental import in_partitions
+from newsflow.plans.analyze import Backends, run_backfill
+from newsflow.plans.ingest import ingest_listings, ingest_news
+from newsflow.schemas import RAW_NEWS, RESULTS
 from newsflow.sources.landing import read_landed
 
 
 def two_stage_run(
-    cards: DataFrame,
+    links: DataFrame,
     pages: DataFrame,
     base: str,
-    previous: DataFrame | None = None,
+    results: str,
     backends: Backends = Backends(),
+    mode: str = "pending",
     **options,
 ) -> DataFrame:
-    """Results of every partition that received articles in this run."""
-    spark = cards.sparkSession
+    """Land what is new, analyse every pending day into ``results``, return that table.
+
+    ``links`` are listing pages (with ``html``) or cards. Pending are all landed days
+    without result, with an older or an empty one, whether this run touched them or not.
+    """
+    spark = links.sparkSession
     landed = read_landed(spark, base, RAW_NEWS)
-    added = ingest_news(cards, pages, landed, base, **options)
-    touched = added.select("ticker", "date").distinct()
-    news = in_partitions(read_landed(spark, base, RAW_NEWS), touched)
-    if previous is not None:
-        previous = in_partitions(previous, touched)
-    return merge_results(previous, analyze_articles(news, backends))
+    ingest = ingest_listings if "html" in links.columns else ingest_news
+    ingest(links, pages, landed, base, **options).drop()
+    run_backfill(spark, base, results, backends, mode=mode)
+    return read_landed(spark, results, RESULTS)

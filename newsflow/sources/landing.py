@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,8 +12,8 @@ from newsflow.functions.dates import iso_seconds
 from newsflow.functions.text import strip
 from newsflow.operators.incremental import drop_landed, in_partitions
 from newsflow.operators.ranking import dedup_keep_first, first_per_key
-from newsflow.schemas import PARTITION_KEYS, RESULT_COLUMNS
-from newsflow.session import materialise
+from newsflow.schemas import LANDING_ORDER, PARTITION_KEYS, RESULT_COLUMNS
+from newsflow.session import Scratch
 
 
 def with_lineage(rows: DataFrame, run_id: str, fetched_at: Column) -> DataFrame:
@@ -26,8 +27,10 @@ def complete_columns(rows: DataFrame, columns: Sequence[str], fill: str = "") ->
 
 
 def union_by_name(old: DataFrame, new: DataFrame, fill: str = "") -> DataFrame:
-    """Old and new rows; text columns one side lacks are filled."""
-    return old.unionByName(new, allowMissingColumns=True).na.fill(fill)
+    """Old and new rows; text columns that one side lacks are filled there, nulls stay."""
+    text = lambda rows: [c for c, kind in rows.dtypes if kind == "string"]
+    one, two = complete_columns(old, text(new), fill), complete_columns(new, text(old), fill)
+    return one.unionByName(two, allowMissingColumns=True)
 
 
 def read_landed(spark: SparkSession, base: str, schema) -> DataFrame:
@@ -52,57 +55,94 @@ def write_partitions(rows: DataFrame, base: str, mode: str, keys: Sequence[str]
     )
 
 
-def landable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with URL, date and ticker, trimmed; and the rest, for quarantine."""
-    usable = F.col("url").isNotNull() & F.col("date").isNotNull() & F.col("ticker").isNotNull()
+def quarantine_reason(held: Column | None = None, why: Column | None = None) -> Column:
+    """Why a row cannot land, null where it can: it lacks a key, or it is ``held``."""
+    reason = F.when(F.col("ticker").isNull(), "no ticker").when(F.col("url").isNull(), "no url").when(F.col("date").isNull(), "no date")
+    return reason if held is None else reason.when(held, F.coalesce(why, F.lit("held")) if why is not None else F.lit("held"))
+
+
+def landable(rows: DataFrame, held: Column | None = None, why: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with URL, date and ticker, trimmed; and the rest with its ``reason``."""
+    judged = rows.withColumn("reason", quarantine_reason(held, why))
     return (
-        rows.filter(usable).withColumn("url", strip(F.col("url"))),
-        rows.filter(~usable),
+        judged.filter("reason is null").drop("reason").withColumn("url", strip(F.col("url"))),
+        judged.filter("reason is not null"),
     )
 
 
-def _between_days(landed: DataFrame, batch: DataFrame) -> DataFrame:
-    """Landed days from the first to the last day of the batch: two dates that prune the
-    partitions to read when the plan is made."""
-    first, last = batch.agg(F.min("date"), F.max("date")).first()
-    return landed.filter(F.col("date").between(F.lit(first), F.lit(last)))
+def quarantine_path(base: str) -> str:
+    return f"{base.rstrip('/')}.quarantine"
+
+
+@dataclass(frozen=True)
+class Landing:
+    """What became of a batch: every row is added, quarantined or rejected.
+
+    ``rejected`` rows are of a URL that its day has already, from the batch or from
+    before. The tables read staged copies until ``drop``.
+    """
 
+    added: DataFrame
+    quarantined: DataFrame
+    rejected: DataFrame
+    scratch: Scratch
 
-def land_by_date(rows: DataFrame, base: str, rewrite: bool = False, pos: str = "pos") -> DataFrame:
-    """Land the new rows of a batch; returns the rows that were added.
+    def drop(self) -> None:
+        self.scratch.drop()
+
+
+def land_by_date(
+    rows: DataFrame,
+    base: str,
+    rewrite: bool = False,
+    order: Sequence[str] = LANDING_ORDER,
+    held: Column | None = None,
+    why: Column | None = None,
+    quarantine: str | None = None,
+) -> Landing:
+    """Land the new rows of a batch by ticker and day.
 
     The first row of a URL within a day wins, and a landed row wins over a new one. So
     landed days need no rewrite: rows that are not there yet are appended. ``rewrite``
     also merges the touched days (and only those) into fresh files, through a staged
     copy, so that a failure in between leaves the merged rows on disk.
 
+    Rows without ticker, URL or date, and ``held`` ones, are appended to the quarantine
+    table with the reason (``why`` for held ones); by default it lies beside ``base``.
+
     The batch is written once before it is compared, so pages are not parsed twice. The
-    comparison handles keys and row numbers only; texts move once, to be written.
+    comparison handles keys and row numbers only. What it rejects, few rows as a rule, is
+    what the batch is filtered by, so the texts move once, to be written.
     """
-    spark = rows.sparkSession
-    numbered = landable(rows)[0].withColumn("_row", F.monotonically_increasing_id())
-    batch = materialise(numbered, "batch")
-    keys = batch.select(*PARTITION_KEYS, "url", pos, "_row")
-    first = first_per_key(keys, [*PARTITION_KEYS, "url"], [F.col(pos), F.col("_row")])
-    landed = _between_days(read_landed(spark, base, rows.schema), batch)
-    known = in_partitions(
-        landed.select(*PARTITION_KEYS, "url"), batch.select(*PARTITION_KEYS).distinct()
-    )
-    chosen = materialise(drop_landed(first, known).select(*PARTITION_KEYS, "_row"), "chosen")
-    added = batch.join(chosen.select("_row"), "_row", "left_semi").drop("_row")
+    spark, scratch = rows.sparkSession, Scratch(rows.sparkSession)
+    batch = scratch.keep(rows.withColumn("_row", F.monotonically_increasing_id()), "batch")
+    good, bad = landable(batch, held, why)
+    bad = bad.drop("_row")
+    ranks = [c for c in order if c in rows.columns]
+    keys = good.select(*dict.fromkeys([*PARTITION_KEYS, "url", *ranks, "_row"]))
+    first = first_per_key(keys, [*PARTITION_KEYS, "url"], [*map(F.col, ranks), F.col("_row")])
+    landed = read_landed(spark, base, rows.schema)
+    known = in_partitions(landed.select(*PARTITION_KEYS, "url"), good.select(*PARTITION_KEYS).distinct())
+    chosen = drop_landed(first, known).select("_row")
+    rejected = scratch.keep(keys.select("_row").join(chosen, "_row", "left_anti"), "rejected")
+    added = good.join(rejected, "_row", "left_anti").drop("_row")
     if rewrite:
-        old = in_partitions(landed, chosen.select(*PARTITION_KEYS).distinct())
-        merged = materialise(dedup_keep_first(old, added, pos=pos), "merged")
+        touched = scratch.keep(added.select(*PARTITION_KEYS).distinct(), "touched")
+        merged = scratch.keep(dedup_keep_first(in_partitions(landed, touched), added, pos=order), "merged")
         write_partitions(merged, base, "overwrite")
     else:
         write_partitions(added, base, "append")
-    return added
+    bad.write.mode("append").parquet(quarantine or quarantine_path(base))
+    return Landing(added, bad, good.join(rejected, "_row", "left_semi").drop("_row"), scratch)
 
 
-def result_rows(results: DataFrame, columns: Sequence[str] = RESULT_COLUMNS) -> DataFrame:
-    """The output projection: text stripped, anything else empty."""
+def result_rows(
+    results: DataFrame, columns: Sequence[str] = RESULT_COLUMNS, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The output projection: text stripped, lists joined, anything else empty; keys as they are."""
     kinds = dict(results.dtypes)
     return results.select(
+        *keys,
         *[
             (
                 strip(F.array_join(c, ", "))
@@ -122,9 +162,7 @@ def write_results(
     mode: str = "overwrite",
 ) -> None:
     """CSV with header; with ``keys`` one folder per partition."""
-    out = result_rows(results.select(*columns, *keys), columns) if not keys else (
-        results.withColumns({c: strip(F.col(c)) for c in columns}).select(*columns, *keys)
-    )
+    out = result_rows(results, columns, keys)
     writer = out.hint("rebalance", *[F.col(k) for k in keys]) if keys else out
     writer = writer.write.mode(mode).option("header", True).option("escape", '"')
     if keys:

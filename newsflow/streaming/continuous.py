@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newsflow.operators.incremental import in_partitions
 from newsflow.plans.analyze import Backends, analyze_articles, merge_results
 from newsflow.schemas import RAW_NEWS, RESULTS
-from newsflow.session import materialise
+from newsflow.session import Scratch
 from newsflow.sources.landing import read_landed, write_partitions
 
 
@@ -20,12 +20,12 @@ def analysis_sink(results: str, backends: Backends, dedup=("summary",)):
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = materialise(analyze_articles(batch, backends), "current")
+        spark, scratch = batch.sparkSession, Scratch(batch.sparkSession)
+        current = scratch.keep(analyze_articles(batch, backends), "current")
         touched = current.select("ticker", "date").distinct()
         previous = in_partitions(read_landed(spark, results, RESULTS), touched)
-        merged = materialise(merge_results(previous, current, dedup), "merged")
-        write_partitions(merged, results, "overwrite")
+        write_partitions(scratch.keep(merge_results(previous, current, dedup), "merged"), results, "overwrite")
+        scratch.drop()
 
     return merge
 
