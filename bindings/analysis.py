@@ -5,15 +5,16 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from bindings.columns import sql_clean, sql_strip
+from bindings.columns import sql_clean, sql_strip, two_runs
 from bindings.tables import LABELLED, NEWS, big, day, labelled, news, table
 from newsflow.functions.text import STOP_WORDS, WORD_GAP
 from newsflow.operators import keywords as K
 from newsflow.operators import stats as S
 from newsflow.operators import summaries as M
 from newsflow.operators.incremental import partition_stats
+from newsflow.operators.inference import model_column
 from newsflow.operators.ranking import ranked_join
-from newsflow.operators.sentiment import lexicon_label
+from newsflow.operators.sentiment import lexicon_label, model_label
 from newsflow.plans.analyze import Backends, analysis_backfill as backfill, analyze_news as analyze
 
 # Words common in the tables' invented languages, as stand-in for a word list.
@@ -84,7 +85,7 @@ SQL_TOP = """kw AS (
 def sql_sentiment(source: str) -> str:
     """CTE ``felt(id, sentiment)`` from ``source(id, base)``."""
     weight = "CASE w " + " ".join(f"WHEN '{w}' THEN {v}" for w, v in WEIGHTS.items()) + " ELSE 0.0 END"
-    head = f"substr({sql_strip('base')}, 1, 512)"
+    head = sql_strip("base")
     return f"""felt AS (
     SELECT id, CASE WHEN blank THEN 'unknown' WHEN total > 0 THEN 'positive'
       WHEN total < 0 THEN 'negative' ELSE 'neutral' END AS sentiment
@@ -125,8 +126,6 @@ def _echo_model():
 
 def model_summaries(spark, sf_dir):
     """The batched model path with its regrouping, through a stand-in model."""
-    from newsflow.operators.inference import model_column
-
     return M.summarize_with_model(_documents(spark, sf_dir), ["doc_id"], model_column(_echo_model), spread=16)
 
 
@@ -229,13 +228,29 @@ def keyword_count(spark, sf_dir):
     rows = news(spark, sf_dir).select(
         "ticker", "date", K.frequent_terms(F.col("content")).alias("keywords")
     )
-    total = S.keyword_count(rows).withColumnRenamed("keyword_count", "keywords")
-    distinct = S.keyword_count(rows, distinct=True).withColumnRenamed("keyword_count", "different")
-    return total.join(distinct, ["ticker", "date"]).select(
+    return S.keyword_counts(rows).select(
         "ticker", day("date").alias("date"), big("keywords"), big("different")
     )
 
 
+def _failing_model():
+    """A stand-in for a labeller that cannot read some texts."""
+
+    def predict(texts):
+        bad = [t for t in texts if t.count("e") % 5 == 0]
+        if bad:
+            raise ValueError(f"no label for {len(bad[0])} characters")
+        return [" POSITIVE" if t.count("e") % 2 else "negative " for t in texts]
+
+    return predict
+
+
+def model_errors(spark, sf_dir):
+    """Labels of a model that fails on some texts: an error is the value of its text only."""
+    label = model_label(F.col("text"), model_column(_failing_model))
+    return table(spark, sf_dir, "documents").select("doc_id", label.alias("sentiment"))
+
+
 def _out(results):
     return results.select(
         "ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords"
@@ -243,7 +258,8 @@ def _out(results):
 
 
 def analyze_news(spark, sf_dir):
-    return _out(analyze(news(spark, sf_dir), backends=BACKENDS))
+    """Positions of two runs repeat, so that run and URL decide between some articles."""
+    return _out(analyze(two_runs(news(spark, sf_dir)), backends=BACKENDS))
 
 
 SQL_ANALYZED = f"""kept AS (SELECT doc_id AS id, * FROM news WHERE {sql_strip('content')} <> ''),
@@ -347,11 +363,18 @@ QUERIES = {
           FROM news LEFT JOIN (SELECT * FROM best WHERE k <= 5) b ON b.id = doc_id GROUP BY ticker, date)
         SELECT ticker, strftime(date, '%Y-%m-%d') AS date, keywords, different FROM per_day""",
     ),
+    "model_errors": (
+        model_errors,
+        f"""SELECT doc_id, CASE WHEN head = '' THEN 'unknown'
+          WHEN (length(head) - length(replace(head, 'e', ''))) % 5 = 0 THEN 'error: no label for ' || length(head) || ' characters'
+          WHEN (length(head) - length(replace(head, 'e', ''))) % 2 = 1 THEN 'positive' ELSE 'negative' END AS sentiment
+        FROM (SELECT doc_id, substr({sql_strip('text')}, 1, 512) AS head FROM documents)""",
+    ),
     "analyze_news": (
         analyze_news,
         f"""WITH RECURSIVE {NEWS}, {SQL_ANALYZED}
         SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
-          SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY pos) AS k FROM analyzed)
+          SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY pos % 2, pos % 7, url) AS k FROM analyzed)
         WHERE k = 1""",
     ),
     "analysis_backfill": (analysis_backfill, _BACKFILL),

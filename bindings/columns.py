@@ -63,13 +63,13 @@ def truncate_lower(spark, sf_dir):
 
 
 def default_content(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").join(
-        table(spark, sf_dir, "labels"), "doc_id", "left"
-    )
-    return docs.select(
+    """Every title and text, cut to what stands before its first e, blank in many rows."""
+    head = lambda c: F.substring_index(c, "e", 1)
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
-        X.default_title(F.col("quality").cast("string")).alias("title"),
-        X.default_content(F.when(F.col("toxic").isNotNull(), F.col("text"))).alias("content"),
+        X.default_title(F.when(F.length("lang") > 0, head(F.col("lang")))).alias("title"),
+        X.default_content(F.concat(head(F.col("text")), F.substring_index("text", " ", -1))).alias("content"),
+        X.default_content(F.nullif(head(F.col("lang")), F.lit("d"))).alias("from_null"),
     )
 
 
@@ -80,10 +80,10 @@ def base_text(spark, sf_dir):
 
 
 def non_empty(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    content = F.when(F.col("lang") == "en", F.col("text")).otherwise(F.lit("  \n"))
-    rows = docs.select("doc_id", content.alias("content"))
-    return rows.filter(~X.is_blank(F.col("content"))).select("doc_id")
+    """Every word of every text counts for one row; texts of markup alone have none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    tails = docs.select(F.col("doc_id") + 10**9, F.substring_index("content", ".", -1))
+    return docs.union(tails).filter(~X.is_blank(F.col("content"))).select("doc_id")
 
 
 def date_guess(spark, sf_dir):
@@ -106,11 +106,13 @@ def local_date(spark, sf_dir):
 
 
 def union_by_name(spark, sf_dir):
+    """Columns one side lacks are filled; nulls of columns both have stay."""
     sup = table(spark, sf_dir, "supplier").select(
-        F.col("s_name").alias("name"), F.col("s_acctbal").alias("acctbal")
+        F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("name"), F.col("s_acctbal").alias("acctbal")
     )
     cust = table(spark, sf_dir, "customer").select(
-        F.col("c_acctbal").alias("acctbal"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        F.col("c_acctbal").alias("acctbal"), F.col("c_name").alias("name"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"),
     )
     return L.union_by_name(sup, cust)
 
@@ -148,7 +150,7 @@ def articles_per_day(spark, sf_dir):
 
 
 def url_head(spark, sf_dir):
-    heads = N.url_heads(links(spark, sf_dir), 3)
+    heads = N.url_heads(two_runs(links(spark, sf_dir)), 3)
     return heads.select("ticker", day("date").alias("date"), "url", big("rank"))
 
 
@@ -209,19 +211,27 @@ def _today():
     return F.lit(AS_OF).cast("date")
 
 
+def two_runs(rows, pos="pos"):
+    """Rows of two runs whose positions both begin at zero and repeat."""
+    return rows.withColumns({"run_id": F.concat(F.lit("r"), (F.col(pos) % 2).cast("string")), "pos": F.col(pos) % 7})
+
+
+TWO_RUNS = "(SELECT * REPLACE (pos % 7 AS pos), 'r' || (pos % 2) AS run_id FROM {source})"
+
+
 def stop_set(spark, sf_dir):
-    stop = I.stop_set(links(spark, sf_dir), _today())
+    stop = I.stop_set(two_runs(links(spark, sf_dir)), _today())
     return stop.select("ticker", "url", day("date").alias("date"), big("rank"))
 
 
 SQL_STOP = """heads AS (
-    SELECT * FROM (SELECT ticker, date, url, pos,
-      row_number() OVER (PARTITION BY ticker, date ORDER BY pos) AS k FROM {source}
+    SELECT * FROM (SELECT *,
+      row_number() OVER (PARTITION BY ticker, date ORDER BY {order}) AS k FROM {source}
       WHERE date_diff('day', date, DATE '{today}') <= 7) WHERE k <= 15),
-  firsts AS (SELECT * FROM (SELECT ticker, date, url, pos,
-      row_number() OVER (PARTITION BY ticker, url ORDER BY date DESC, pos) AS k FROM heads) WHERE k = 1),
+  firsts AS (SELECT * FROM (SELECT * EXCLUDE (k),
+      row_number() OVER (PARTITION BY ticker, url ORDER BY date DESC, {order}) AS k FROM heads) WHERE k = 1),
   stop AS (SELECT * FROM (SELECT ticker, url, date,
-      row_number() OVER (PARTITION BY ticker ORDER BY date DESC, pos) AS rank FROM firsts) WHERE rank <= 15)"""
+      row_number() OVER (PARTITION BY ticker ORDER BY date DESC, {order}) AS rank FROM firsts) WHERE rank <= 15)"""
 
 
 def stop_anti(spark, sf_dir):
@@ -260,9 +270,9 @@ QUERIES = {
     ),
     "default_content": (
         default_content,
-        """SELECT d.doc_id, coalesce(CAST(quality AS VARCHAR), '') AS title,
-        coalesce(nullif(CASE WHEN toxic IS NOT NULL THEN text END, ''), '본문 없음') AS content
-        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+        """SELECT doc_id, split_part(lang, 'e', 1) AS title,
+        coalesce(nullif(split_part(text, 'e', 1) || list_last(string_split(text, ' ')), ''), '본문 없음') AS content,
+        coalesce(nullif(nullif(split_part(lang, 'e', 1), 'd'), ''), '본문 없음') AS from_null FROM documents""",
     ),
     "base_text": (
         base_text,
@@ -271,7 +281,8 @@ QUERIES = {
     ),
     "non_empty": (
         non_empty,
-        f"SELECT doc_id FROM documents WHERE lang = 'en' AND {sql_strip('text')} <> ''",
+        f"""SELECT doc_id FROM documents WHERE {sql_strip('text')} <> '' UNION ALL
+        SELECT doc_id + 1000000000 FROM documents WHERE {sql_strip("list_last(string_split(text, '.'))")} <> ''""",
     ),
     "date_guess": (
         date_guess,
@@ -286,8 +297,8 @@ QUERIES = {
     ),
     "union_by_name": (
         union_by_name,
-        """SELECT s_name AS name, s_acctbal AS acctbal, '' AS segment FROM supplier
-        UNION ALL SELECT c_name, c_acctbal, c_mktsegment FROM customer""",
+        """SELECT CASE WHEN s_acctbal > 0 THEN s_name END AS name, s_acctbal AS acctbal, '' AS segment FROM supplier
+        UNION ALL SELECT c_name, c_acctbal, nullif(c_mktsegment, 'BUILDING') FROM customer""",
     ),
     "lineage": (
         lineage,
@@ -318,7 +329,8 @@ QUERIES = {
     "url_head": (
         url_head,
         f"""WITH {LINKS} SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, rank FROM (
-        SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY pos) AS rank FROM links) WHERE rank <= 3""",
+        SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY run_id, pos, url) AS rank
+        FROM {TWO_RUNS.format(source='links')}) WHERE rank <= 3""",
     ),
     "since_last": (
         since_last,
@@ -346,12 +358,12 @@ QUERIES = {
     ),
     "stop_set": (
         stop_set,
-        f"""WITH {LINKS}, {SQL_STOP.format(source='links', today=AS_OF)}
+        f"""WITH {LINKS}, {SQL_STOP.format(source=TWO_RUNS.format(source='links'), today=AS_OF, order='run_id, pos, url')}
         SELECT ticker, url, strftime(date, '%Y-%m-%d') AS date, rank FROM stop""",
     ),
     "stop_anti": (
         stop_anti,
-        f"""WITH {LINKS}, {_ITEMS}, {SQL_STOP.format(source="(SELECT * FROM items WHERE event_type = 'purchase')", today=AS_OF)}
+        f"""WITH {LINKS}, {_ITEMS}, {SQL_STOP.format(source="(SELECT * FROM items WHERE event_type = 'purchase')", today=AS_OF, order='pos, url')}
         SELECT ticker, url, pos FROM items i WHERE event_type <> 'purchase'
         AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.ticker = i.ticker AND s.url = i.url)""",
     ),

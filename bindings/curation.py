@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 from bindings.columns import sql_clean, sql_strip
 from bindings.tables import AS_OF, LABELLED, NEWS, NEWS_HOST, big, day, labelled, news, table
 from newsflow.functions import urls as U
+from newsflow.functions.dates import iso_seconds
+from newsflow.functions.text import clean
 from newsflow.operators import incremental as I
 from newsflow.operators import pages as P
 from newsflow.operators import ranking as R
+from newsflow.operators import stats as S
+from newsflow.plans.analyze import merge_results as merge
 from newsflow.sources import files as FS
 from newsflow.sources import landing as L
+from newsflow.sources.news import scan_csv
 from newsflow.session import scratch_path
 
 
@@ -36,8 +41,6 @@ def dedup_url(spark, sf_dir):
 
 
 def dedup_text(spark, sf_dir):
-    from newsflow.functions.text import clean
-
     old, new = _old_new(news(spark, sf_dir))
     kept = R.dedup_keep_first(
         old, new, ("ticker", "content"), normalise={"content": F.lower(clean(F.col("content")))}
@@ -46,10 +49,9 @@ def dedup_text(spark, sf_dir):
 
 
 def merge_results(spark, sf_dir):
-    from newsflow.plans.analyze import merge_results as merge
-
+    """Whole texts as summaries; positions repeat, so that the URL decides between some."""
     rows = news(spark, sf_dir).select(
-        "ticker", "lang", "pos", F.substring("content", 1, 12).alias("summary"), "url"
+        "ticker", "lang", (F.col("pos") % 20).alias("pos"), F.col("content").alias("summary"), "url"
     )
     old, new = _old_new(rows)
     return merge(old, new, keys=("ticker",)).select("ticker", "summary", "url")
@@ -64,8 +66,8 @@ def land_by_date(spark, sf_dir):
     """Two batches over one base, the second one holding the first again."""
     base = scratch_path(spark, "landing")
     rows = _recurring(spark, sf_dir).drop("doc_id", "n_chars")
-    L.land_by_date(rows.filter("lang <> 'en'"), base)
-    L.land_by_date(rows, base)
+    L.land_by_date(rows.filter("lang <> 'en'"), base).drop()
+    L.land_by_date(rows, base).drop()
     landed = L.read_landed(spark, base, rows.schema)
     return landed.select("ticker", day("date").alias("date"), "url", "content", "pos")
 
@@ -74,8 +76,8 @@ def land_rewrite(spark, sf_dir):
     """The same landing with merged, rewritten days."""
     base = scratch_path(spark, "landing")
     rows = _recurring(spark, sf_dir).drop("doc_id", "n_chars")
-    L.land_by_date(rows.filter("lang <> 'en'"), base, rewrite=True)
-    L.land_by_date(rows, base, rewrite=True)
+    L.land_by_date(rows.filter("lang <> 'en'"), base, rewrite=True).drop()
+    L.land_by_date(rows, base, rewrite=True).drop()
     landed = L.read_landed(spark, base, rows.schema)
     return landed.select("ticker", day("date").alias("date"), "url", "content", "pos")
 
@@ -86,9 +88,26 @@ SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, content, pos FROM (
   FROM recurring) WHERE k = 1"""
 
 
+def land_quarantine(spark, sf_dir):
+    """Rows without URL or day, and rows held back, with the reasons they did not land."""
+    base = scratch_path(spark, "landing")
+    rows = news(spark, sf_dir).select(
+        "ticker",
+        F.when(F.col("n_chars") % 7 != 0, F.col("date")).alias("date"),
+        F.when(F.col("n_chars") % 5 != 0, F.col("url")).alias("url"),
+        "content", "pos",
+    )
+    held = F.col("pos") % 3 == 0
+    L.land_by_date(rows, base, held=held, why=F.concat(F.lit("held "), F.col("ticker"))).drop()
+    stored = spark.read.parquet(L.quarantine_path(base)).select("pos", "reason")
+    return stored.unionByName(L.read_landed(spark, base, rows.schema).select("pos", F.lit("landed").alias("reason")))
+
+
 def _results(spark, sf_dir):
     return news(spark, sf_dir).join(labelled(spark, sf_dir), "doc_id", "left").select(
         "doc_id",
+        "ticker",
+        "date",
         F.col("content").alias("summary"),
         "sentiment",
         F.array("ticker", "lang").alias("keywords"),
@@ -96,25 +115,35 @@ def _results(spark, sf_dir):
 
 
 def write_results(spark, sf_dir):
-    from newsflow.sources.news import scan_csv
-
     path = scratch_path(spark, "results")
     L.write_results(_results(spark, sf_dir), path)
     back = scan_csv(spark, path, "summary string, sentiment string, keywords string")
     return back.na.fill("")
 
 
+def write_results_keyed(spark, sf_dir):
+    """One folder per ticker and day, read back with the keys of the folders."""
+    path = scratch_path(spark, "results")
+    L.write_results(_results(spark, sf_dir), path, keys=("ticker", "date"))
+    back = scan_csv(spark, path, "summary string, sentiment string, keywords string, ticker string, date date")
+    return back.na.fill("").withColumn("date", day("date"))
+
+
 def results_with_articles(spark, sf_dir):
     rows = news(spark, sf_dir)
     results = rows.join(labelled(spark, sf_dir), "doc_id").select("ticker", "date", "url", "sentiment")
-    joined = results.join(rows.select("ticker", "date", "url", "content"), ["ticker", "date", "url"])
+    joined = S.results_with_articles(results, rows)
     return joined.select("ticker", day("date").alias("date"), "url", "sentiment", "content")
 
 
 def file_inventory(spark, sf_dir):
-    return FS.file_inventory(spark, sf_dir, glob="*.parquet").select(
-        FS.file_name(F.col("path")).alias("name"), "size"
-    )
+    """The files of freshly landed documents, every day of every ticker with its size."""
+    base = scratch_path(spark, "landing")
+    L.land_by_date(news(spark, sf_dir).select("ticker", "date", "url", "content", "pos"), base).drop()
+    files = FS.file_inventory(spark, base, glob="*.parquet")
+    return files.groupBy(
+        F.regexp_extract("path", "ticker=([^/]+)", 1).alias("ticker"), F.regexp_extract("path", "date=([^/]+)", 1).alias("date")
+    ).agg((F.min("size") > 0).alias("has_bytes"))
 
 
 _TABLES = (
@@ -135,7 +164,7 @@ def file_facts(spark, sf_dir):
     """Facts of freshly landed files, summed per partition."""
     base = scratch_path(spark, "landing")
     rows = _recurring(spark, sf_dir).drop("doc_id", "n_chars")
-    L.land_by_date(rows, base)
+    L.land_by_date(rows, base).drop()
     facts = FS.file_facts(
         FS.all_files(spark, base, "*.parquet"),
         FS.file_row_counts(L.read_landed(spark, base, rows.schema)),
@@ -168,9 +197,19 @@ def page_content(spark, sf_dir):
     return _facts(spark, sf_dir).select("page_id", P.content_of(F.col("facts")).alias("content"))
 
 
+def _stamped(spark, sf_dir):
+    """Pages with the time of the event of the same number, where there is one."""
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), iso_seconds(F.col("ts")).alias("stamp"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html").join(events, "page_id", "left")
+
+
 def page_date(spark, sf_dir):
+    """An event time as the time tag of every second page, zoned or not by turns."""
+    zone = F.when(F.col("page_id") % 4 == 0, "Z").when(F.col("page_id") % 4 == 2, "-0500").otherwise("")
+    tag = F.concat(F.lit('<time datetime="'), F.col("stamp"), zone, F.lit('"></time><article>'))
+    pages = _stamped(spark, sf_dir).select("page_id", F.replace("html", F.lit("<article>"), F.coalesce(tag, F.lit("<article>"))).alias("html"))
     as_of = F.lit(AS_OF).cast("date")
-    return _facts(spark, sf_dir).select("page_id", day(P.date_of(F.col("facts"), as_of)).alias("date"))
+    return P.with_facts(pages).select("page_id", day(P.date_of(F.col("facts"), as_of)).alias("date"))
 
 
 def page_articles(spark, sf_dir):
@@ -185,8 +224,25 @@ def _anchors(spark, sf_dir, **options):
     return P.to_links(listings, which="anchors", **options)
 
 
+def _carded(spark, sf_dir, opening: str, closing: str):
+    """Pages whose links stand in cards, with an event time in each card."""
+    start = F.concat(F.lit(opening), F.coalesce(F.concat(F.lit('<time datetime="'), F.col("stamp"), F.lit('Z"></time>')), F.lit("")), F.lit("<a "))
+    wrapped = F.replace(F.replace("html", F.lit("<a "), start), F.lit("</a>"), F.lit("</a>" + closing))
+    return _stamped(spark, sf_dir).select("page_id", wrapped.alias("html"))
+
+
 def page_links(spark, sf_dir):
-    return _anchors(spark, sf_dir).select("page_id", big("pos"), "href", "datetime")
+    """Story cards of every page."""
+    listings = _carded(spark, sf_dir, '<section data-testid="storyitem">', "</section>")
+    return P.to_links(listings).select("page_id", big("pos"), "href", "datetime")
+
+
+def news_links(spark, sf_dir):
+    """The older cards, of which only news paths count; every second page has such paths."""
+    listings = _carded(spark, sf_dir, '<li class="js-stream-content">', "</li>")
+    moved = F.when(F.col("page_id") % 2 == 0, F.replace("html", F.lit('href="/'), F.lit('href="/news/'))).otherwise(F.col("html"))
+    links = P.news_links(listings.withColumn("html", moved), ("page_id",))
+    return links.select("page_id", "url", big("pos"), "datetime")
 
 
 def normalize_links(spark, sf_dir):
@@ -200,10 +256,10 @@ def filter_links(spark, sf_dir):
 
 
 def dedup_links(spark, sf_dir):
-    listings = table(spark, sf_dir, "pages").select(F.substring("url", 1, 12).alias("ticker"), "page_id", "html")
-    links = P.to_links(listings, which="anchors").withColumn(
-        "pos", F.col("page_id") * 1000 + F.col("pos")
-    )
+    """Links of all pages of a site, in the order of pages and places."""
+    host = F.regexp_extract("url", "^https?://([^/]+)", 1)
+    links = P.to_links(table(spark, sf_dir, "pages").select(host.alias("ticker"), "page_id", "html"), which="anchors")
+    links = links.withColumn("pos", F.col("page_id") * 10**9 + F.col("pos"))
     return R.dedup_links(links).select("ticker", "url", "pos")
 
 
@@ -252,8 +308,8 @@ QUERIES = {
     ),
     "merge_results": (
         merge_results,
-        f"""WITH {NEWS} SELECT ticker, substr(content, 1, 12) AS summary, url FROM (SELECT *, row_number() OVER (
-        PARTITION BY ticker, substr(content, 1, 12) ORDER BY (lang = 'en'), pos) AS k FROM news) WHERE k = 1""",
+        f"""WITH {NEWS} SELECT ticker, content AS summary, url FROM (SELECT *, row_number() OVER (
+        PARTITION BY ticker, content ORDER BY (lang = 'en'), pos % 20, url) AS k FROM news) WHERE k = 1""",
     ),
     "landed_anti": (
         landed_anti,
@@ -272,7 +328,20 @@ QUERIES = {
         f"""WITH {NEWS}, {LABELLED} SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, sentiment, content
         FROM news JOIN labelled USING (doc_id)""",
     ),
-    "file_inventory": (file_inventory, None),
+    "file_inventory": (
+        file_inventory,
+        f"WITH {NEWS} SELECT DISTINCT ticker, strftime(date, '%Y-%m-%d') AS date, true AS has_bytes FROM news",
+    ),
+    "land_quarantine": (
+        land_quarantine,
+        f"""WITH {NEWS} SELECT pos, CASE WHEN n_chars % 5 = 0 THEN 'no url' WHEN n_chars % 7 = 0 THEN 'no date'
+        WHEN pos % 3 = 0 THEN 'held ' || ticker ELSE 'landed' END AS reason FROM news""",
+    ),
+    "write_results_keyed": (
+        write_results_keyed,
+        f"""WITH {NEWS}, {LABELLED} SELECT {sql_strip('content')} AS summary, coalesce(sentiment, '') AS sentiment,
+        ticker || ', ' || lang AS keywords, ticker, strftime(date, '%Y-%m-%d') AS date FROM news LEFT JOIN labelled USING (doc_id)""",
+    ),
     "file_row_counts": (
         file_row_counts,
         " UNION ALL ".join(f"SELECT '{t}.parquet' AS name, count(*) AS row_count FROM {t}" for t in _TABLES),
@@ -288,7 +357,13 @@ QUERIES = {
     ),
     "page_title": (page_title, f"WITH {PAGE_SQL} SELECT page_id, title FROM page_texts"),
     "page_content": (page_content, f"WITH {PAGE_SQL} SELECT page_id, content FROM page_texts"),
-    "page_date": (page_date, f"SELECT page_id, '{AS_OF}' AS date FROM pages"),
+    "page_date": (
+        page_date,
+        f"""SELECT page_id, strftime(CASE WHEN page_id % 2 = 0 AND contains(html, '<article>') AND ts IS NOT NULL
+          THEN CAST(date_trunc('second', ts) + CASE WHEN page_id % 4 = 0 THEN INTERVAL 9 HOUR ELSE INTERVAL 14 HOUR END AS DATE)
+          ELSE DATE '{AS_OF}' END, '%Y-%m-%d') AS date
+        FROM pages LEFT JOIN events ON event_id = page_id""",
+    ),
     "page_articles": (
         page_articles,
         f"""WITH {PAGE_SQL} SELECT page_id, url, CAST(200 AS BIGINT) AS status_code, title,
@@ -297,7 +372,15 @@ QUERIES = {
     ),
     "page_links": (
         page_links,
-        f"WITH {_HREFS} SELECT page_id, pos, href, CAST(NULL AS VARCHAR) AS datetime FROM hrefs",
+        f"""WITH {_HREFS} SELECT page_id, pos, href, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS datetime
+        FROM hrefs LEFT JOIN events ON event_id = page_id""",
+    ),
+    "news_links": (
+        news_links,
+        f"""WITH {_HREFS}, moved AS (SELECT page_id, pos, '/news' || href AS href FROM hrefs
+          WHERE page_id % 2 = 0 AND starts_with(href, '/'))
+        SELECT page_id, {_ABSOLUTE} AS url, min(pos) AS pos, any_value(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS datetime
+        FROM moved LEFT JOIN events ON event_id = page_id GROUP BY page_id, url""",
     ),
     "normalize_links": (
         normalize_links,
@@ -307,8 +390,8 @@ QUERIES = {
     "filter_links": (filter_links, "SELECT page_id, url FROM pages WHERE contains(url, '/en/')"),
     "dedup_links": (
         dedup_links,
-        f"""WITH {_HREFS}, l AS (SELECT substr(page_url, 1, 12) AS ticker, {_ABSOLUTE} AS url,
-          page_id * 1000 + pos AS pos FROM hrefs)
+        f"""WITH {_HREFS}, l AS (SELECT regexp_extract(page_url, '^https?://([^/]+)', 1) AS ticker, {_ABSOLUTE} AS url,
+          page_id * 1000000000 + pos AS pos FROM hrefs)
         SELECT ticker, url, min(pos) AS pos FROM l GROUP BY ticker, url""",
     ),
     "best_fetch": (

@@ -18,6 +18,7 @@ from bindings.tables import (
 )
 from newsflow.operators import history as H
 from newsflow.operators import stats as S
+from newsflow.schemas import FILE_KEY_CHARS, LATEST_RUNS
 
 
 def _stats_out(df):
@@ -57,14 +58,14 @@ def latest_crawl_date(spark, sf_dir):
 
 
 def latest_crawl_date_one(spark, sf_dir):
-    return S.latest_crawl_date(crawls(spark, sf_dir), "no such ticker").select(
+    return S.latest_crawl_date(crawls(spark, sf_dir), "1-URGENT").select(
         day("latest_date").alias("latest_date")
     )
 
 
 def latest_runs(spark, sf_dir):
     tie = [F.col("created_at"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")]
-    runs = S.latest_runs(crawls(spark, sf_dir), analyses(spark, sf_dir), tie)
+    runs = S.latest_runs(crawls(spark, sf_dir), analyses(spark, sf_dir), tie, LATEST_RUNS)
     return runs.select(
         "ticker",
         day("crawl_date").alias("crawl_date"),
@@ -116,34 +117,41 @@ def history_start(spark, sf_dir):
 
 
 def history_state(spark, sf_dir):
-    log = table(spark, sf_dir, "events").filter(
-        F.col("event_type").isin("signup", "purchase", "error")
+    """Every event is a change: signups and views start a run, the others finish it."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("run_id"), "event_id", "event_type", "props",
+        F.floor("value").alias("value"), "ts",
     )
     kind = F.col("event_type")
-    log = log.select(
-        F.col("user_id").alias("id"),
-        "event_id",
-        F.col("ts").alias("changed_at"),
-        F.when(kind == "signup", "running").when(kind == "purchase", "success").otherwise("failed").alias("status"),
-        F.when(kind == "signup", F.col("props")).alias("run_id"),
-        F.when(kind == "purchase", F.floor("value")).alias("article_count"),
-        F.when(kind == "error", F.concat(F.lit("e"), F.floor("value").cast("string"))).alias("error_message"),
-    )
+    starts = H.start_records(
+        events.filter(kind.isin("signup", "view")).select("run_id", "event_id", "props", "ts"), F.col("ts"), ["run_id"]
+    ).withColumnRenamed("started_at", "changed_at")
+    done = kind.isin("purchase", "click")
+    ends = H.finish_records(
+        events.filter(~kind.isin("signup", "view")).select(
+            "run_id", "event_id", "ts", F.when(done, F.col("value")).alias("article_count"),
+            F.when(~done, F.concat(F.lit("e"), F.col("value").cast("string"))).alias("error_message"),
+            done.alias("done"),
+        ),
+        F.col("ts"), F.when(F.col("done"), "success").otherwise("failed"), ["run_id"],
+    ).withColumnRenamed("completed_at", "changed_at").drop("done")
+    log = starts.unionByName(ends, allowMissingColumns=True)
     state = H.history_state(
-        log, ["changed_at", "event_id"], ["run_id"], ["article_count", "error_message"]
+        log, ["changed_at", "event_id"], ["run_id", "props"], ["article_count", "error_message"]
     )
     times = {c: second(c) for c in ("started_at", "completed_at", "created_at", "updated_at")}
-    return state.withColumns(times)
+    return state.drop("id").withColumns(times)
 
 
-_HISTORY_STATE = """WITH log AS (
-  SELECT user_id AS id, ts AS changed_at, (ts, event_id) AS ord,
-         CASE event_type WHEN 'signup' THEN 'running' WHEN 'purchase' THEN 'success' ELSE 'failed' END AS status,
-         CASE WHEN event_type = 'signup' THEN props END AS run_id,
-         CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) END AS article_count,
+_CHANGES = """log AS (
+  SELECT CAST(user_id AS VARCHAR) AS run_id, ts AS changed_at, (ts, event_id) AS ord, event_type, props, event_id,
+         CASE WHEN event_type IN ('signup', 'view') THEN 'running'
+              WHEN event_type IN ('purchase', 'click') THEN 'success' ELSE 'failed' END AS status,
+         CASE WHEN event_type IN ('purchase', 'click') THEN CAST(floor(value) AS BIGINT) END AS article_count,
          CASE WHEN event_type = 'error' THEN 'e' || CAST(floor(value) AS BIGINT) END AS error_message
-  FROM events WHERE event_type IN ('signup', 'purchase', 'error'))
-SELECT id, arg_min(run_id, ord) FILTER (status = 'running') AS run_id,
+  FROM events)"""
+_HISTORY_STATE = f"""WITH {_CHANGES}
+SELECT run_id, arg_min(props, ord) FILTER (status = 'running') AS props,
        arg_max(article_count, ord) FILTER (article_count IS NOT NULL) AS article_count,
        arg_max(error_message, ord) FILTER (error_message IS NOT NULL) AS error_message,
        arg_max(status, ord) AS status,
@@ -151,7 +159,41 @@ SELECT id, arg_min(run_id, ord) FILTER (status = 'running') AS run_id,
        strftime(arg_max(changed_at, ord) FILTER (status <> 'running'), '%Y-%m-%d %H:%M:%S.%f') AS completed_at,
        strftime(min(changed_at), '%Y-%m-%d %H:%M:%S.%f') AS created_at,
        strftime(max(changed_at), '%Y-%m-%d %H:%M:%S.%f') AS updated_at
-FROM log GROUP BY id HAVING bool_or(status = 'running')"""
+FROM log GROUP BY run_id HAVING bool_or(status = 'running')"""
+
+
+def dag_run_state(spark, sf_dir):
+    """Runs of two users each: starts, successes, failures, and finishes before any start."""
+    kind = F.col("event_type")
+    started, done = kind.isin("signup", "view"), kind.isin("purchase", "click")
+    log = table(spark, sf_dir, "events").select(
+        F.floor(F.col("user_id") / 2).alias("run_id"),
+        "event_id",
+        F.when(started, kind).alias("dag_id"),
+        F.when(started, F.to_date("ts")).alias("execution_date"),
+        F.when(started, F.col("props")).alias("tickers"),
+        F.when(started, "running").when(done, "success").otherwise("failed").alias("status"),
+        F.when(done, F.floor("value")).alias("total_articles"),
+        F.when(kind == "error", F.concat(F.lit("e"), F.floor("value").cast("string"))).alias("error_message"),
+        F.col("ts").alias("changed_at"),
+    )
+    runs = H.dag_run_state(log, ["changed_at", "event_id"])
+    return runs.withColumns(
+        {"execution_date": day("execution_date"), "started_at": second("started_at"), "completed_at": second("completed_at")}
+    )
+
+
+_DAG_RUNS = f"""WITH {_CHANGES},
+runs AS (SELECT CAST(run_id AS BIGINT) // 2 AS run_id, * EXCLUDE (run_id) FROM log),
+first AS (SELECT run_id, min(ord) AS f FROM runs WHERE status = 'running' GROUP BY run_id),
+valid AS (SELECT runs.* FROM runs JOIN first USING (run_id) WHERE ord >= f)
+SELECT run_id, arg_min(event_type, ord) AS dag_id, strftime(arg_min(CAST(changed_at AS DATE), ord), '%Y-%m-%d') AS execution_date,
+       arg_min(props, ord) AS tickers, arg_max(status, ord) AS status,
+       arg_max(article_count, ord) FILTER (article_count IS NOT NULL) AS total_articles,
+       arg_max(error_message, ord) FILTER (error_message IS NOT NULL) AS error_message,
+       strftime(arg_max(changed_at, ord) FILTER (status = 'running'), '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+       strftime(arg_max(changed_at, ord) FILTER (status <> 'running'), '%Y-%m-%d %H:%M:%S.%f') AS completed_at
+FROM valid GROUP BY run_id"""
 
 
 def run_upsert(spark, sf_dir):
@@ -186,7 +228,7 @@ def file_upsert(spark, sf_dir):
         F.col("l_quantity").cast("bigint").alias("row_count"),
         F.col("l_suppkey").alias("uploaded_at"),
     )
-    return H.file_upsert(log, order).withColumn("file_date", day("file_date"))
+    return H.file_upsert(log, order, key_chars=FILE_KEY_CHARS).withColumn("file_date", day("file_date"))
 
 
 _FILE_UPSERT = """WITH log AS (
@@ -247,7 +289,7 @@ QUERIES = {
     "latest_crawl_date_one": (
         latest_crawl_date_one,
         f"""WITH {CRAWLS} SELECT strftime(max(crawl_date), '%Y-%m-%d') AS latest_date
-        FROM crawls WHERE ticker = 'no such ticker' AND status = 'success'""",
+        FROM crawls WHERE ticker = '1-URGENT' AND status = 'success'""",
     ),
     "latest_runs": (
         latest_runs,
@@ -301,6 +343,7 @@ QUERIES = {
         FROM links""",
     ),
     "history_state": (history_state, _HISTORY_STATE),
+    "dag_run_state": (dag_run_state, _DAG_RUNS),
     "run_upsert": (
         run_upsert,
         """SELECT user_id AS run_id, arg_min(event_type, (ts, event_id)) AS dag_id,

@@ -28,7 +28,6 @@ from newsflow.streaming.continuous import start_analysis
 
 AS_OF = "2024-01-10"
 TODAY = dt.date.fromisoformat(AS_OF)
-CAP = 120
 FETCHED = "2024-01-30 12:00:00"
 
 
@@ -79,22 +78,32 @@ def _fetched(spark, sf_dir):
 
 def _options():
     fetched_at = F.lit(FETCHED).cast("timestamp_ntz")
-    return {"as_of": TODAY, "run_id": "run-1", "fetched_at": fetched_at, "max_articles": CAP}
+    return {"as_of": TODAY, "run_id": "run-1", "fetched_at": fetched_at}
 
 
 def ingest_news(spark, sf_dir):
     base = scratch_path(spark, "raw")
     earlier = landed(spark, sf_dir)
-    L.land_by_date(earlier, base)
-    added = ingest(
+    L.land_by_date(earlier, base).drop()
+    landing = ingest(
         cards(spark, sf_dir), _fetched(spark, sf_dir), L.read_landed(spark, base, earlier.schema), base, **_options()
     )
-    return added.select(
+    return landing.added.select(
         "ticker", day("date").alias("date"), "url", "title", "content", big("status_code"),
         "fetched_at", "run_id", "pos",
     )
 
 
+def ingest_errors(spark, sf_dir):
+    """Links to pages of which every fifth was not fetched, and what became of them."""
+    base = scratch_path(spark, "raw")
+    earlier = landed(spark, sf_dir)
+    L.land_by_date(earlier, base).drop()
+    some = table(spark, sf_dir, "pages").filter("page_id % 5 <> 0").select("url", "html", F.lit(200).alias("status_code"))
+    ingest(cards(spark, sf_dir), some, L.read_landed(spark, base, earlier.schema), base, **_options()).drop()
+    return spark.read.parquet(L.quarantine_path(base)).select("ticker", day("date").alias("date"), "url", "pos", "content", "reason")
+
+
 _INGEST = f"""linked AS (
     SELECT 'T' || (user_id % 8) AS ticker, event_id AS pos, event_type, CAST(ts AS DATE) AS date, url, props
     FROM events JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)),
@@ -102,28 +111,27 @@ _INGEST = f"""linked AS (
     FROM (SELECT ticker, pos, CAST(date - 25 AS DATE) AS date, url, props FROM linked
           WHERE event_type = 'purchase')) WHERE dup = 1),
   last AS (SELECT ticker, max(date) AS last_date FROM earlier GROUP BY ticker),
-  {SQL_STOP.format(source='earlier', today=AS_OF)},
+  {SQL_STOP.format(source='earlier', today=AS_OF, order='pos, url')},
   unique_cards AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, url ORDER BY pos) AS dup
     FROM linked WHERE event_type <> 'purchase') WHERE dup = 1),
   fresh AS (SELECT c.*, last_date FROM unique_cards c LEFT JOIN last USING (ticker)
     WHERE (last_date IS NULL OR c.date >= last_date)
       AND NOT EXISTS (SELECT 1 FROM stop s WHERE s.ticker = c.ticker AND s.url = c.url)),
-  capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY pos) AS k FROM fresh)
-    WHERE k <= {CAP}),
   {PAGE_SQL},
   added AS (SELECT ticker, DATE '{AS_OF}' AS date, url, title,
       coalesce(nullif(content, ''), '본문 없음') AS content, pos
-    FROM capped JOIN page_texts USING (url)
+    FROM fresh JOIN page_texts USING (url)
     WHERE (last_date IS NULL OR DATE '{AS_OF}' >= last_date)
-      AND NOT EXISTS (SELECT 1 FROM earlier e WHERE e.ticker = capped.ticker AND e.url = capped.url
+      AND NOT EXISTS (SELECT 1 FROM earlier e WHERE e.ticker = fresh.ticker AND e.url = fresh.url
                       AND e.date = DATE '{AS_OF}'))"""
 
 
 def two_stage_run(spark, sf_dir):
+    """The stored results of all landed days, also of those that this run did not touch."""
     base = scratch_path(spark, "raw")
-    L.land_by_date(landed(spark, sf_dir), base)
+    L.land_by_date(landed(spark, sf_dir), base).drop()
     results = two_stages(
-        cards(spark, sf_dir), _fetched(spark, sf_dir), base, backends=BACKENDS, **_options()
+        cards(spark, sf_dir), _fetched(spark, sf_dir), base, scratch_path(spark, "results"), BACKENDS, **_options()
     )
     return results.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
 
@@ -145,7 +153,7 @@ def stream_analysis(spark, sf_dir):
         "lang",
     )
     for batch in ("lang <> 'en'", "lang = 'en'"):
-        L.land_by_date(rows.filter(batch).drop("lang"), base)
+        L.land_by_date(rows.filter(batch).drop("lang"), base).drop()
         start_analysis(spark, base, results, checkpoint, BACKENDS).awaitTermination()
     stored = L.read_landed(spark, results, RESULTS)
     return stored.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
@@ -153,9 +161,9 @@ def stream_analysis(spark, sf_dir):
 
 _TWO_STAGES = f"""WITH RECURSIVE {_INGEST},
   day_news AS (SELECT row_number() OVER (ORDER BY ticker, url) AS id, * FROM (
-    SELECT ticker, date, url, content, pos FROM added
+    SELECT ticker, date, url, content, pos, 1 AS run FROM added
     UNION ALL
-    SELECT ticker, date, url, props, pos FROM earlier WHERE (ticker, date) IN (SELECT (ticker, date) FROM added))),
+    SELECT ticker, date, url, props, pos, 0 FROM earlier) WHERE content <> ''),
   texts AS (SELECT id, {sql_clean('content')} AS t FROM day_news),
   {sql_chunks('texts')},
   {SQL_SUMMED},
@@ -166,7 +174,7 @@ _TWO_STAGES = f"""WITH RECURSIVE {_INGEST},
   {SQL_TOP}
 SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
   SELECT ticker, date, url, coalesce(summary, '') AS summary, sentiment, coalesce(keywords, '') AS keywords,
-    row_number() OVER (PARTITION BY ticker, date, summary ORDER BY pos) AS k
+    row_number() OVER (PARTITION BY ticker, date, coalesce(summary, '') ORDER BY run, pos, url) AS k
   FROM day_news LEFT JOIN summed USING (id) JOIN felt USING (id) LEFT JOIN kw USING (id)) WHERE k = 1"""
 
 QUERIES = {
@@ -175,6 +183,11 @@ QUERIES = {
         f"""WITH {_INGEST} SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, title, content,
         CAST(200 AS BIGINT) AS status_code, '2024-01-30T12:00:00' AS fetched_at, 'run-1' AS run_id, pos FROM added""",
     ),
+    "ingest_errors": (
+        ingest_errors,
+        f"""WITH {_INGEST} SELECT ticker, '{AS_OF}' AS date, url, pos, '' AS content, 'not fetched' AS reason
+        FROM fresh JOIN pages USING (url) WHERE page_id % 5 = 0 AND (last_date IS NULL OR DATE '{AS_OF}' >= last_date)""",
+    ),
     "two_stage_run": (two_stage_run, _TWO_STAGES),
     "stream_analysis": (
         stream_analysis,
