@@ -80,7 +80,9 @@ def test_model_label(spark):
 def test_lexicon_label(spark):
     texts = ["Up up down", "down", "flat", "", None, "x" * 510 + " up"]
     df = frame(spark, texts).select("doc_id", lexicon_label(F.col("content"), {"up": 1, "down": -1.5}).alias("l"))
-    assert [r.l for r in df.orderBy("doc_id").collect()] == ["positive", "negative", "neutral", "unknown", "unknown", "neutral"]
+    assert [r.l for r in df.orderBy("doc_id").collect()] == ["positive", "negative", "neutral", "unknown", "unknown", "positive"]
+    cut = frame(spark, texts).select("doc_id", lexicon_label(F.col("content"), {"up": 1}, chars=512).alias("l"))
+    assert cut.orderBy("doc_id").collect()[5].l == "neutral"
 
 
 def corpus(n=60):

@@ -86,7 +86,7 @@ def test_file_upsert_compares_255_characters(rows):
          (2, "raw", "A", day, "b1", "k" * 254, 3, 3, at(2))],
         schema,
     )
-    got = {len(r.s3_key): r for r in H.file_upsert(df, ["n"]).collect()}
+    got = {len(r.s3_key): r for r in H.file_upsert(df, ["n"], key_chars=255).collect()}
     assert set(got) == {256, 254}
     # an overwrite with no row count overwrites it with none
     assert (got[256].s3_bucket, got[256].file_size_bytes, got[256].row_count) == ("b1", 2, None)
@@ -182,3 +182,23 @@ def test_store(spark, tmp_path, rows):
         store.append("other", rows([row], CRAWLING_HISTORY))
     with pytest.raises(ValueError):
         HistoryStore(spark)
+
+
+def test_dag_runs_finish_only_what_was_started(rows):
+    schema = "n int, run_id string, dag_id string, execution_date date, tickers string, status string, total_articles int, error_message string, changed_at timestamp_ntz"
+    day = dt.date(2024, 1, 1)
+    log = [
+        (0, "a", "d1", day, "[1]", "running", None, None, at(0)), (1, "a", None, None, None, "failed", None, "bad", at(1)),
+        (2, "a", "d2", day, "[2]", "running", None, None, at(2)), (3, "a", None, None, None, "success", 7, None, at(3)),
+        (4, "unknown", None, None, None, "success", 9, None, at(4)),
+        (5, "late", None, None, None, "failed", None, "early", at(5)), (6, "late", "d3", day, "[3]", "running", None, None, at(6)),
+    ]
+    got = {r.run_id: r for r in H.dag_run_state(rows(log, schema), ["n"]).collect()}
+    assert set(got) == {"a", "late"}
+    a, late = got["a"], got["late"]
+    assert (a.dag_id, a.tickers, a.status, a.total_articles, a.error_message) == ("d1", "[1]", "success", 7, "bad")
+    assert (a.started_at, a.completed_at) == (at(2), at(3))
+    assert (late.status, late.error_message, late.completed_at, late.started_at) == ("running", None, None, at(6))
+    kept = H.run_upsert(rows([(0, "a", "d", day, "t", "running", at(0)), (1, "a", None, None, None, "success", None)],
+        "n int, run_id string, dag_id string, execution_date date, tickers string, status string, started_at timestamp_ntz"), ["n"]).collect()
+    assert [(r.status, r.started_at, r.dag_id) for r in kept] == [("success", at(0), "d")]

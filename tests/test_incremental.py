@@ -139,7 +139,7 @@ def test_group_limit_runs_before_the_shuffle(rows):
     df = rows([("a", i) for i in range(10)], "ticker string, pos int")
     plan = R.cap_per_ticker(df, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4
 
 
 def test_dedup_keep_first(rows):

@@ -35,13 +35,55 @@ def test_landing_keeps_the_first_and_is_idempotent(spark, rows, tmp_path, rewrit
     want = {("A", D1, "u1", "one"), ("A", D2, "u2", "text")}
     assert landed(spark, base) == want
     # the same again adds nothing; a later day may hold the same URL; an old row wins
-    added = L.land_by_date(rows(first, RAW_NEWS), base, rewrite)
-    assert added.count() == 0 and landed(spark, base) == want
+    again = L.land_by_date(rows(first, RAW_NEWS), base, rewrite)
+    assert (again.added.count(), again.quarantined.count(), again.rejected.count()) == (0, 2, 3)
+    assert landed(spark, base) == want
     second = [article("u1", content="late"), article("u1", date=D2, content="other day"), article("u9", ticker="B")]
     L.land_by_date(rows(second, RAW_NEWS), base, rewrite)
     assert landed(spark, base) == want | {("A", D2, "u1", "other day"), ("B", D1, "u9", "text")}
     assert L.read_landed(spark, base, RAW_NEWS).count() == 4
     assert L.landable(rows(first, RAW_NEWS))[1].count() == 2
+    held = spark.read.parquet(L.quarantine_path(base)).groupBy("reason").count().collect()
+    assert {tuple(r) for r in held} == {("no url", 2), ("no date", 2)}
+
+
+def test_landed_quarantined_and_rejected_are_the_batch(spark, rows, tmp_path):
+    base = str(tmp_path / "raw")
+    L.land_by_date(rows([article("u0")], RAW_NEWS), base)
+    batch = [article(u, date=d, ticker=t, pos=i) for i, (u, d, t) in enumerate(
+        [(u, d, t) for u in ("u0", "u1", " u1", None) for d in (D1, D2, None) for t in ("A", "B", None)])]
+    out = L.land_by_date(rows(batch, RAW_NEWS), base, held=F.col("pos") == 9, why=F.lit("why"))
+    parts = [{r.pos for r in part.collect()} for part in (out.added, out.quarantined, out.rejected)]
+    assert sum(map(len, parts)) == len(batch) and set().union(*parts) == set(range(len(batch)))
+    assert {r.reason for r in out.quarantined.collect()} == {"no url", "no date", "no ticker", "why"}
+    folder = out.scratch.paths[0].removeprefix("file:")
+    assert os.path.isdir(folder)
+    out.drop()
+    assert not os.path.exists(folder) and not out.scratch.paths
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from newsflow.session import scratch_path
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        scratch_path(fake, "x")
+    fake.conf = SimpleNamespace(get=lambda *_: "hdfs://shared/")
+    assert scratch_path(fake, "x").startswith("hdfs://shared/newsflow/x-")
+
+
+def test_landing_prunes_days(spark, rows, tmp_path):
+    base = str(tmp_path / "raw")
+    L.land_by_date(rows([article(f"u{i}", date=D1 + dt.timedelta(days=i)) for i in range(5)], RAW_NEWS), base)
+    from newsflow.operators.incremental import in_partitions
+
+    chosen = rows([("A", D2)], "ticker string, date date")
+    plan = in_partitions(L.read_landed(spark, base, RAW_NEWS), chosen)._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "2024-01-02" in filters.split("PartitionFilters")[1]
 
 
 def test_rewrite_leaves_other_partitions_alone(spark, rows, tmp_path):
@@ -58,7 +100,7 @@ def test_rewrite_leaves_other_partitions_alone(spark, rows, tmp_path):
 def test_union_and_lineage(spark, rows):
     old = rows([("a", None)], "x string, y string")
     new = rows([("b", "c")], "x string, z string")
-    assert {tuple(r) for r in L.union_by_name(old, new).select("x", "y", "z").collect()} == {("a", "", ""), ("b", "", "c")}
+    assert {tuple(r) for r in L.union_by_name(old, new).select("x", "y", "z").collect()} == {("a", None, ""), ("b", "", "c")}
     assert L.complete_columns(new, ["x", "w"]).columns == ["x", "z", "w"]
     row = L.with_lineage(new, "run", F.lit(dt.datetime(2024, 1, 2, 3, 4, 5, 678))).collect()[0]
     assert (row.fetched_at, row.run_id) == ("2024-01-02T03:04:05", "run")
@@ -142,26 +184,64 @@ def test_ingest_twice(spark, rows, tmp_path):
     base = str(tmp_path / "raw")
     cards, pages = tables(rows)
     L.land_by_date(rows([article("https://finance.yahoo.com/n/0", date=dt.date(2024, 1, 3))], RAW_NEWS), base)
-    got = ingest_news(cards, pages, L.read_landed(spark, base, RAW_NEWS), base, **options()).collect()
+    got = ingest_news(cards, pages, L.read_landed(spark, base, RAW_NEWS), base, **options()).added.collect()
     # /n/old is older than the last date, /n/stale turns out to be; broken pages wait
     assert {(r.ticker, r.date.day, r.url[-3:], r.title, r.status_code) for r in got} == {
         ("A", 6, "n/1", "one", 200), ("A", 7, "n/2", "two", 404), ("B", 7, "n/2", "two", 404),
     }
+    held = spark.read.parquet(L.quarantine_path(base)).collect()
+    assert {(r.url[-7:], r.reason == "not fetched") for r in held} == {("missing", True), ("/broken", False)}
     again = ingest_news(cards, pages, L.read_landed(spark, base, RAW_NEWS), base, **options())
-    assert again.count() == 0
+    assert again.added.count() == 0
     errors = ingest_news(
         cards, pages, L.read_landed(spark, base, RAW_NEWS), base, land_errors=True, **options()
-    ).collect()
-    assert [(r.url[-6:], r.date, r.content, bool(r.error)) for r in errors] == [("broken", OPTIONS["as_of"], "", True)]
+    ).added.collect()
+    assert {(r.url[-7:], r.date, r.content, bool(r.error)) for r in errors} == {
+        ("/broken", OPTIONS["as_of"], "", True), ("missing", OPTIONS["as_of"], "", True)
+    }
 
 
-def test_two_stages(rows, tmp_path):
-    cards, pages = tables(rows)
+def test_one_article_for_several_fetches(spark, rows, tmp_path):
+    host = "https://finance.yahoo.com"
+    cards = rows([("A", 0, "/n/1", None), ("A", 1, "/n/2", None)], "ticker string, pos int, href string, datetime string")
+    long = '<h1>late</h1><article><p>' + "long " * 9 + '</p></article><time datetime="2024-01-07T01:00:00Z">'
+    early, late = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 9)
+    pages = [(host + "/n/1", PAGE.format("thin", "05"), 200, "http", early), (host + "/n/1", long, 201, "browser", late),
+             (host + "/n/2", PAGE.format("late", "06"), 200, "http", late), (host + "/n/2", PAGE.format("early", "05"), 404, "http", early),
+             (host + "/n/2", None, 500, "http", early)]
+    for number, order in enumerate((pages, pages[::-1])):
+        table = rows(order, "url string, html string, status_code int, fetch_kind string, fetched_at timestamp")
+        base = str(tmp_path / f"raw{number}")
+        got = ingest_news(cards, table, L.read_landed(spark, base, RAW_NEWS), base, **options()).added.collect()
+        assert {(r.url[-3:], r.title, r.status_code, r.date.day) for r in got} == {("n/1", "late", 200, 7), ("n/2", "early", 404, 6)}
+
+
+def test_two_stages(spark, rows, tmp_path):
+    _, pages = tables(rows)
+    base, results = str(tmp_path / "raw"), str(tmp_path / "results")
+    card = '<section data-testid="storyitem"><a href="{}">x</a></section>'
+    listings = rows([("A", card.format("/n/1") + card.format("/n/missing")), ("B", card.format("/n/2") * 2)], "ticker string, html string")
+    L.land_by_date(rows([article("u0", ticker="C", content="Old good day.")], RAW_NEWS), base)
     backends = Backends(sentiment_weights={"good": 1.0})
-    out = two_stage_run(cards, pages, str(tmp_path / "raw"), backends=backends, **options()).collect()
-    assert {(r.ticker, r.summary, r.sentiment, r.keywords) for r in out if r.ticker == "B"} == {
-        ("B", "two is good.", "positive", "good, two")
+    out = two_stage_run(listings, pages, base, results, backends, **options())
+    assert {(r.ticker, r.url[-3:], r.summary, r.sentiment) for r in out.collect()} == {
+        ("A", "n/1", "one is good.", "positive"), ("B", "n/2", "two is good.", "positive"),
+        ("C", "u0", "Old good day.", "positive"),
     }
+    with pytest.raises(ValueError):
+        analyze_news(L.read_landed(spark, base, RAW_NEWS))
+
+
+def test_winners_do_not_depend_on_row_order(spark, rows, tmp_path):
+    two = [article("b", content="Same."), article("a", content="Same.")]
+    weights = Backends(sentiment_weights={"good": 1.0})
+    for number, order in enumerate((two, two[::-1])):
+        base = str(tmp_path / f"raw{number}")
+        L.land_by_date(rows(order, RAW_NEWS).coalesce(1), base)
+        assert [r.url for r in analyze_news(L.read_landed(spark, base, RAW_NEWS), backends=weights).collect()] == ["a"]
+        assert analyze_news(rows(order, RAW_NEWS), rows(order, RAW_NEWS).selectExpr(
+            "url", "fetched_at", "run_id", "pos", "content as summary", "'neutral' as sentiment", "'' as keywords", "ticker", "date"
+        ), weights, dedup=()).count() == 2
 
 
 def test_stream_equals_batch_and_replays_nothing(spark, rows, tmp_path):
@@ -205,5 +285,7 @@ def test_command_line(spark, rows, tmp_path):
     where = {n: str(tmp_path / n) for n in ("cards", "pages", "raw", "results")}
     cards.write.parquet(where["cards"]), pages.write.parquet(where["pages"])
     main(["ingest", "--cards", where["cards"], "--pages", where["pages"], "--base", where["raw"], "--as-of", "2024-01-09"])
-    main(["analyze", "--base", where["raw"], "--results", where["results"], "--mode", "all"])
+    weights = tmp_path / "weights.json"
+    weights.write_text('{"good": 1}')
+    main(["analyze", "--base", where["raw"], "--results", where["results"], "--mode", "all", "--weights", str(weights)])
     assert {r.summary for r in L.read_landed(spark, where["results"], RESULTS).collect()} >= {"one is good.", "two is good."}
