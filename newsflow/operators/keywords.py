@@ -47,28 +47,17 @@ def term_table(
     )
 
 
-HOT_TERMS = 1000
-
-
-def with_document_frequency(terms: DataFrame, hot_share: int = HOT_TERMS) -> DataFrame:
+def with_document_frequency(terms: DataFrame) -> DataFrame:
     """Add ``doc_freq``, the number of articles that hold the term. ``terms`` is read
-    twice, so give it as a written table.
+    twice, so it should come from a written table.
 
-    A term in more than 1/``hot_share`` of all (article, term) rows is hot; there are
-    fewer than ``hot_share`` of those by counting, so they are broadcast. The long tail
-    is joined on the term, where no key is larger than 1/``hot_share`` of the table.
+    Only terms of two articles or more are looked up; the long tail of terms that occur
+    once needs no row in the vocabulary. Spark broadcasts the vocabulary if its written
+    size allows, else it joins on the term and splits hot terms at run time.
     """
-    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    counts = materialise(counts, "vocabulary")
-    total = counts.select(F.sum("doc_freq")).scalar()
-    is_hot = F.col("doc_freq") * hot_share > total
-    hot = F.broadcast(counts.filter(is_hot).withColumnRenamed("doc_freq", "_hot_freq"))
-    marked = terms.join(hot, "term", "left")
-    head = marked.filter("_hot_freq is not null").withColumnRenamed("_hot_freq", "doc_freq")
-    tail = marked.filter("_hot_freq is null").drop("_hot_freq").join(
-        counts.filter(~is_hot), "term"
-    )
-    return head.unionByName(tail)
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).filter("doc_freq > 1")
+    joined = terms.join(materialise(counts, "vocabulary"), "term", "left")
+    return joined.withColumn("doc_freq", F.coalesce("doc_freq", F.lit(1)))
 
 
 def tfidf_keywords(
@@ -78,14 +67,21 @@ def tfidf_keywords(
     top_k: int = KEYWORDS_TOP_K,
     stop_words: Iterable[str] = STOP_WORDS,
     digits: int = 6,
+    min_len: int = 2,
 ) -> DataFrame:
     """``keys, keywords`` by term frequency times smoothed inverse document frequency.
 
-    Articles without a term are not in the result. The texts are split once: the term
-    table is written to the shared scratch folder and read from there.
+    Articles without a term are not in the result. The texts are split once: one row per
+    article with its counted terms is written to the shared scratch folder and read from
+    there.
     """
-    written = materialise(term_table(articles, keys, text, stop_words), "terms")
-    terms = with_document_frequency(written)
+    counted = term_counts(tokens(F.col(text), stop_words, min_len))
+    rows = materialise(articles.select(*keys, counted.alias("_terms")), "terms")
+    terms = with_document_frequency(
+        unnest(rows, F.col("_terms"), *keys).select(
+            *keys, F.col("_item.term").alias("term"), (-F.col("_item.neg")).alias("tf")
+        )
+    )
     documents = articles.select(F.count(F.lit(1))).scalar()
     idf = F.ln((documents + 1) / (F.col("doc_freq") + 1)) + 1
     scored = terms.withColumn("score", F.round(F.col("tf") * idf, digits))

@@ -113,11 +113,10 @@ def test_frequent_terms(spark):
         assert row.k == [w for w, _ in want]
 
 
-@pytest.mark.parametrize("hot_share", [1000, 20])
-def test_tfidf_with_hot_terms(spark, hot_share, monkeypatch):
+def test_tfidf_with_hot_terms(spark):
     texts = corpus()
     terms = K.term_table(frame(spark, texts), ["doc_id"], stop_words=())
-    counted = K.with_document_frequency(terms, hot_share).collect()
+    counted = K.with_document_frequency(terms).collect()
     freq = Counter(w for t in texts for w in set(t.split()))
     assert len(counted) == sum(freq.values())
     assert all(r.doc_freq == freq[r.term] for r in counted)
