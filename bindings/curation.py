@@ -16,7 +16,7 @@ from newsflow.operators import stats as S
 from newsflow.plans.analyze import merge_results as merge
 from newsflow.sources import files as FS
 from newsflow.sources import landing as L
-from newsflow.sources.news import scan_csv
+from newsflow.sources.news import scan_csv, scan_pages
 from newsflow.session import scratch_path
 
 
@@ -180,8 +180,9 @@ def _pages(spark, sf_dir):
 
 
 def pages_scan(spark, sf_dir):
-    return _pages(spark, sf_dir).select(
-        "page_id", "url", big("status_code"), F.length("html").cast("bigint").alias("html_chars")
+    """Pages as a fetcher hands them over; what it did not write is null."""
+    return scan_pages(spark, f"{sf_dir}/pages.parquet").select(
+        "url", big("status_code"), "fetch_kind", F.length("html").cast("bigint").alias("html_chars")
     )
 
 
@@ -353,7 +354,7 @@ QUERIES = {
     ),
     "pages_scan": (
         pages_scan,
-        "SELECT page_id, url, CAST(200 AS BIGINT) AS status_code, length(html) AS html_chars FROM pages",
+        "SELECT url, CAST(NULL AS BIGINT) AS status_code, CAST(NULL AS VARCHAR) AS fetch_kind, length(html) AS html_chars FROM pages",
     ),
     "page_title": (page_title, f"WITH {PAGE_SQL} SELECT page_id, title FROM page_texts"),
     "page_content": (page_content, f"WITH {PAGE_SQL} SELECT page_id, content FROM page_texts"),

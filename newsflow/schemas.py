@@ -33,7 +33,6 @@ LANDING_ORDER = ("fetched_at", "run_id", "pos", "url")
 RAW_PAGES = (
     "url STRING, html STRING, status_code INT, fetch_kind STRING, fetched_at TIMESTAMP"
 )
-LINK_CARDS = "ticker STRING, pos INT, href STRING, datetime STRING"
 RAW_NEWS = (
     "url STRING, title STRING, content STRING, status_code INT, fetched_at STRING, "
     "run_id STRING, error STRING, pos BIGINT, ticker STRING, date DATE"

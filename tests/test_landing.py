@@ -289,3 +289,30 @@ def test_command_line(spark, rows, tmp_path):
     weights.write_text('{"good": 1}')
     main(["analyze", "--base", where["raw"], "--results", where["results"], "--mode", "all", "--weights", str(weights)])
     assert {r.summary for r in L.read_landed(spark, where["results"], RESULTS).collect()} >= {"one is good.", "two is good."}
+
+
+def test_stream_and_backfill_read_their_days_only(spark, rows, tmp_path, monkeypatch):
+    """Both choose from stored tables through ``in_partitions``, which filters both sides."""
+    from newsflow.operators import incremental
+    from newsflow.plans import analyze
+    from newsflow.streaming import continuous
+
+    seen = []
+
+    def watched(table, chosen):
+        out = incremental.in_partitions(table, chosen)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        seen.append([line for line in plan.splitlines() if "PartitionFilters" in line and "date#" in line])
+        return out
+
+    monkeypatch.setattr(analyze, "in_partitions", watched)
+    monkeypatch.setattr(continuous, "in_partitions", watched)
+    base, results, check = (str(tmp_path / n) for n in ("raw", "results", "check"))
+    backends = Backends(sentiment_weights={"good": 1.0})
+    L.land_by_date(rows([article("u1"), article("u2", date=D2)], RAW_NEWS), base)
+    analyze.run_backfill(spark, base, results, backends, date="2024-01-02")
+    L.land_by_date(rows([article("u3", date=D2)], RAW_NEWS), base)
+    start_analysis(spark, base, results, check, backends).awaitTermination()
+    filters = [line.split("PartitionFilters: [")[1] for lines in seen for line in lines]
+    tables = [f for f in filters if not f.startswith("]")]
+    assert len(tables) >= 3 and all(">= 2024-01-0" in f for f in tables)
