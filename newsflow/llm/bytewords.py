@@ -8,13 +8,14 @@ any length is handled as one slice; short documents share a slice of bounded siz
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Length of the tables of powers that a process keeps; longer ones serve one long text.
+KEPT_POWERS = SLICE_BYTES + (1 << 16)
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
@@ -56,14 +57,20 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << bits
-    up, down = np.full(size, base, dtype=np.uint64), np.full(size, pow(base, -1, 1 << 64), dtype=np.uint64)
-    up[0] = down[0] = 1
-    np.multiply.accumulate(up, out=up)
-    np.multiply.accumulate(down, out=down)
-    return up, down
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of a base and of its inverse; one table per base is kept."""
+    known = _TABLES.get(base)
+    if known is None or len(known[0]) < size:
+        known = tuple(np.full(max(size, KEPT_POWERS), b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+        for table in known:
+            table[:1] = 1
+            np.multiply.accumulate(table, out=table)
+        if size <= KEPT_POWERS:
+            _TABLES[base] = known
+    return known
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,7 +90,7 @@ _BYTES = tuple(np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.ui
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """A 64-bit hash of every span ``values[start:end]``, by differences of one running sum."""
-    up, down = _powers(_BASES[which], max(16, int(len(values)).bit_length()))
+    up, down = _powers(_BASES[which], len(values) + 1)
     total = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], out=total[1:])
     spans = (total[ends] - total[starts]) * down[starts]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.llm.bytewords import text_bytes
-from newsflow.llm.tasks import keyed_texts, map_texts, texts_of
+from newsflow.llm.tasks import bounded_batches, keyed_texts, map_texts, texts_of
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -244,4 +244,4 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             columns[at] = pa.array([redact(t) for t in columns[at].to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)

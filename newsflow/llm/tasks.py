@@ -12,9 +12,25 @@ from newsflow.llm.bytewords import slices
 from newsflow.session import scratch_path
 
 
+#: Documents in one Arrow batch at most; with texts of a few kilobytes, a few megabytes.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Make sure that the session sends wide rows to Python in small batches.
+
+    The default of 10,000 rows would hold some hundred megabytes of texts per task beside
+    the heap. A smaller setting of the session stays.
+    """
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, under fixed names, so that no other column can clash."""
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
 def map_texts(docs: DataFrame, id_col: str, text_col: str, columns: str, make: Callable) -> DataFrame:
@@ -51,7 +67,7 @@ def add_columns(docs: DataFrame, text_col: str, columns: str, make: Callable) ->
                 out = apply(pa.RecordBatch.from_arrays([part.column(at)], ["text"]))
                 yield pa.RecordBatch.from_arrays([*part.columns, *map(as_array, out.values())], [*part.schema.names, *out])
 
-    return docs.mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(run, schema)
 
 
 def filter_rows(docs: DataFrame, text_col: str, make: Callable) -> DataFrame:
@@ -67,7 +83,7 @@ def filter_rows(docs: DataFrame, text_col: str, make: Callable) -> DataFrame:
             for part in slices(batch, at):
                 yield part.filter(as_array(keep(pa.RecordBatch.from_arrays([part.column(at)], ["text"]))))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def as_array(values) -> pa.Array:
