@@ -79,7 +79,9 @@ def decode_ids(rows: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
 
 
 def encode_rows(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """All columns but the text, then ``n_tokens``, ``ids`` and whether they decode to the text's bytes."""
+    """All columns but the text, then ``n_tokens``, ``ids`` and whether they decode to the
+    text's bytes (``exact``). Columns that had these names are replaced."""
+    docs = docs.drop(*[c for c in ("n_tokens", "ids", "exact") if c != text_col])
 
     def make():
         tokenizer = encoding(rank_file, pattern)

@@ -243,7 +243,7 @@ def test_pipeline_with_extra_columns_and_empty_table(spark):
     import corpus_pipeline as C
 
     sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumns({c: F.lit(1) for c in ("words", "n", "block", "bag", "row")})
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumns({c: F.lit(1) for c in ("words", "n", "block", "bag", "row", "n_tokens", "keep", "level", "ids", "label", "hash", "base", "_row")})
     for start in (docs, docs.limit(0)):
         left = start
         for _, stage in C.STAGES:
