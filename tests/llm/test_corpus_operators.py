@@ -223,6 +223,46 @@ def test_quality_on_labelled_documents(spark):
     assert Q.good_documents(docs, nothing).count() == docs.count()
 
 
+def trusted_ids(spark, n):
+    """Ids outside the held quarter in the order in which the sample takes them."""
+    rows = spark.range(1000).filter("pmod(xxhash64(id), 4) != 0").orderBy(F.xxhash64("id"), "id").limit(n).collect()
+    return [r[0] for r in rows]
+
+
+def test_long_documents_do_not_end_the_sample(spark):
+    ids = trusted_ids(spark, 42)
+    short = {i: f"short text number {i}" for i in ids[2:]}
+    rows = [(ids[0], "é word " * 2000), (ids[1], "x" * 9000), *short.items(), (ids[5], "another and longer text"), (ids[6], short[ids[6]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    took = [(r["id"], r["text"]) for r in Q.trusted_sample(docs, labels, "doc_id", "text", "quality", 100, 4000).collect()]
+    found = dict(took)
+    assert len(took) == len(found) == 42 and {i: found[i] for i in short} == short
+    for i in ids[:2]:
+        assert rows[ids.index(i)][1].startswith(found[i]) and 1000 < len(found[i].encode()) < 2000
+    assert found[ids[0]].endswith("é") or found[ids[0]].endswith("word")
+    assert sum(len(t.encode()) for t in found.values()) <= 4000
+    whole = dict(map(tuple, Q.trusted_sample(docs, labels, "doc_id", "text", "quality", 100, 10**6).collect()))
+    assert whole[ids[0]] == rows[0][1] and whole[ids[1]] == rows[1][1]
+    few = dict(map(tuple, Q.trusted_sample(docs, labels, "doc_id", "text", "quality", 3, 4000).collect()))
+    assert sorted(few) == sorted(ids[:3])
+    assert [r["text"] for r in Q.trusted_sample(docs.filter(F.col("doc_id") == ids[1]), labels, "doc_id", "text", "quality", 9, 50).collect()] == ["x" * 50]
+
+
+def test_a_long_document_does_not_switch_the_classifier_off(spark):
+    ids = trusted_ids(spark, 60)
+    held = [r[0] for r in spark.range(1000).filter("pmod(xxhash64(id), 4) = 0").limit(40).collect()]
+    rng = random.Random(3)
+    prose = lambda n: " ".join(rng.choice("the cat sat on a mat and it was good for all of us".split()) for _ in range(n))
+    rows = [(ids[0], prose(9000), "en")] + [(i, prose(60), "en") for i in ids[1:] + held] + [(5000 + i, " ".join("#%d@!" % rng.randrange(10**9) for _ in range(60)), "en") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in ids + held], "doc_id long, quality int")
+    kept = {r["doc_id"] for r in Q.classify(docs, labels, max_bytes=20_000).filter("keep").collect()}
+    assert not kept & set(range(5000, 5005)) and len(kept) >= 95
+    with pytest.warns(UserWarning, match="held quarter"):
+        assert Q.classify(docs, labels.filter(F.col("doc_id").isin(held))).filter("keep").count() == len(rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
 
