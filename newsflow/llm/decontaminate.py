@@ -9,7 +9,9 @@ The set is broadcast only up to ``max_windows`` windows, about 40 bytes each. A
 benchmark goes through a join on the window hash instead, with the same results.
 
 Defined results: a missing text has no words and hits nothing; an item without words has
-no window and can't occur; items with the same id count once; repeated documents are
+no window and can't occur; items with the same id count once;
+items without id hit like others, and together they count as one item, a null at the end of
+``items`` that the digest of the ids leaves out; repeated documents are
 judged each; other columns are not looked at.
 """
 
@@ -46,9 +48,11 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                         item.append(ids[d])
                 yield pa.RecordBatch.from_arrays([pa.array(length, pa.int32()), pa.array(hashes, pa.int64()), pa.array(text, pa.binary()), pa.array(item, pa.string())], ["length", "hash", "window", "item"])
 
-    narrow = keyed_texts(items, id_col, text_col).withColumn("id", F.col("id").cast("string")).filter("id is not null")
+    narrow = keyed_texts(items, id_col, text_col).withColumn("id", F.col("id").cast("string"))
     rows = narrow.mapInArrow(run, "length int, hash long, window binary, item string")
-    return rows.groupBy("length", "hash", "window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    # collect_set leaves a missing id out; it is put behind the others.
+    nameless = F.when(F.max(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return rows.groupBy("length", "hash", "window").agg(F.concat(F.sort_array(F.collect_set("item")), nameless).alias("items"))
 
 
 class TestSet:
@@ -103,7 +107,7 @@ def _judged(words: Words, hits) -> dict:
     return {
         "n_words": pa.array(words.counts, pa.int64()),
         "n_hit": pa.array(n_hit, pa.int64()),
-        "items": pa.array([sorted(items.get(d, ())) for d in range(len(words.counts))], pa.list_(pa.string())),
+        "items": pa.array([sorted(items.get(d, ()), key=lambda i: (i is None, i)) for d in range(len(words.counts))], pa.list_(pa.string())),
         "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
     }
 

@@ -200,6 +200,27 @@ def test_contamination(spark, most):
     assert clean == {i for i in want if not want[i][4]}
 
 
+@pytest.mark.parametrize("most", [10**6, 3])
+def test_contamination_by_items_without_id(spark, most):
+    import duckdb
+
+    from newsflow.llm.queries import OP6_SQL
+
+    passage = " ".join(f"w{i}" for i in range(20))
+    texts = [(1, "a " + passage), (2, "own text"), (3, passage + " " + "other words here"), (4, "other words here"), (5, None)]
+    items = [(None, passage), (None, "other words here"), ("7", "other words here"), ("8", " ".join(f"w{i}" for i in range(5, 20))), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = {r["doc_id"]: tuple(r) for r in D.digest(D.contamination(docs, bench, max_windows=most)).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()}
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark (item_id VARCHAR, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", texts)
+        db.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+        assert got == {r[0]: r for r in db.execute(OP6_SQL).fetchall()}
+    assert got[1][2:4] == (20, 2) and got[3][3] == 3 and got[4][3] == 2
+    assert {r["doc_id"] for r in D.clean_documents(docs, bench, max_windows=most).collect()} == {2, 5}
+
+
 def test_cut_spans(spark):
     docs = spark.createDataFrame([(1, "é One two, three four. Tail"), (2, None)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "TWO three")], "item_id long, text string")
