@@ -8,8 +8,10 @@ tokens and ``p1(w) = (c(w) + 1) / (N + V + 1)``,
 which sums to one over the vocabulary and one unseen word. As an automaton: the root and
 every known word are states. A seen bigram is an arc with its probability; every other
 word takes the failure arc, ``m / (c(u) + m)``, to the root and the root's arc, ``p1``.
-The traversal goes through a text once, from a start state (whose count is the number of
-training documents) to an end token, carrying the state and adding log10 weights.
+A text is read once, from a start state (whose count is the number of training documents)
+to an end token, adding log10 weights. As a state is just the word before, no states or
+arcs are built: the counts of each token, its predecessor and their bigram are looked up
+and the weights worked out for whole arrays, with the automaton's values.
 
 Counts of all words and bigrams come from all training texts. Blocks of documents send
 their distinct keys with their counts to hash shards; the shards add them up and answer
