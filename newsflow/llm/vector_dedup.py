@@ -11,7 +11,8 @@ Beams widen in two ways. A query whose beam holds only linked vectors may have m
 beam doubles until some of it lies below the threshold or it holds the shard. And a sample
 of the queries is compared with the whole shard: if fewer than ``RECALL`` of their links
 were found, the beams of all queries of this pair of shards double and the search runs
-again, up to beams as wide as the shard, which are exact.
+again, up to beams as wide as the shard. From a quarter of the shard on, a beam is replaced
+by the product with the whole shard, which is exact; small shards are never searched.
 
 A task returns link counts and a tree of the links it found, never all pairs; components
 of the trees are the groups.
