@@ -130,6 +130,14 @@ def op1_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op13_piece_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from newsflow.llm import piece_bpe
+
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, None),
     "op2_language_model": (op2_language_model, None),
@@ -141,4 +149,5 @@ QUERIES = {
     "op8_vector_dedup": (op8_vector_dedup, OP8_SQL),
     "op9_quality": (op9_quality, None),
     "op10_substrings": (op10_substrings, OP10_SQL),
+    "op13_piece_bpe": (op13_piece_bpe, None),
 }
