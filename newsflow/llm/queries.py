@@ -130,6 +130,88 @@ def op1_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op11_centroid_clusters(spark, sf_dir):
+    from newsflow.llm import centroids
+
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _nearest_sql(centroids: str) -> str:
+    """Every vector with ``16 * distance + number`` of its nearest centroid."""
+    distance = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"(SELECT r, e, min(d * 16 + c) AS m FROM (SELECT v.r, v.e, c.c, {distance} AS d FROM v, {centroids} c) GROUP BY r, e)"
+
+
+def _round_sql(i: int) -> str:
+    return f"""
+s{i} AS (SELECT c, dim, sum(x) AS s, count(*) AS n
+         FROM (SELECT m % 16 AS c, unnest(e) AS x, unnest(range(64)) AS dim FROM {_nearest_sql(f"c{i - 1}")}) GROUP BY c, dim),
+c{i} AS (SELECT o.c, coalesce(m.e, o.e) AS e FROM c{i - 1} o LEFT JOIN
+         (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS e FROM s{i} GROUP BY c) m USING (c)),"""
+
+
+OP11_SQL = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), e) - 1 AS c, e FROM v WHERE vec_id IS NOT NULL QUALIFY c < 16),
+{_round_sql(1)}{_round_sql(2)}{_round_sql(3)}
+last AS (SELECT r, CAST(m % 16 AS INTEGER) AS cluster, CAST(m // 16 AS BIGINT) AS distance FROM {_nearest_sql("c3")})
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.e, ',')) AS centroid_sha256
+FROM last JOIN v USING (r) JOIN c3 ON c3.c = cluster"""
+
+
+def op12_manifest(spark, sf_dir):
+    from newsflow.llm import manifest
+
+    return manifest.check_tampering(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE
+doc AS (
+  SELECT doc_id, lang, row_number() OVER () AS r, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+             lambda acc, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(acc, b)),
+             4294967295), 4294967295) AS crc
+  FROM documents),
+leaf AS (
+  SELECT doc_id, lang, r, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || CASE WHEN crc % 3 = 0 THEN coalesce(strlen(low) || ':' || low, '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS claim
+  FROM doc),
+tree AS (SELECT lang, n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM (SELECT lang, count(*) AS n FROM leaf GROUP BY lang)),
+placed AS (
+  SELECT l.*, t.tree, t.n, row_number() OVER (PARTITION BY t.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM leaf l JOIN tree t ON l.lang IS NOT DISTINCT FROM t.lang),
+node AS (
+  SELECT tree, 0 AS level, idx, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY tree, level, idx // 8, n),
+upper AS (
+  SELECT -1 AS tree, 0 AS level, tree AS idx, h, (SELECT count(*) FROM tree) AS n FROM node WHERE n = 1
+  UNION ALL
+  SELECT tree, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM upper WHERE n > 1 GROUP BY tree, level, idx // 8, n),
+run AS (
+  SELECT tree, level, idx // 8 AS idx, list(h ORDER BY idx) AS hs, (n + 7) // 8 AS n
+  FROM (FROM node UNION ALL FROM upper) WHERE n > 1 GROUP BY tree, level, idx // 8, n),
+climb AS (
+  SELECT r, 0 AS step, claim AS h, '' AS proof, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, 0 AS level, CASE WHEN n = 1 THEN tree ELSE idx END AS idx
+  FROM placed
+  UNION ALL
+  SELECT c.r, c.step + 1, sha256(array_to_string(hs[1 : c.idx % 8], '') || c.h || array_to_string(hs[c.idx % 8 + 2 : 8], '')),
+         c.proof || array_to_string(hs[1 : c.idx % 8], '') || array_to_string(hs[c.idx % 8 + 2 : 8], ''),
+         CASE WHEN n = 1 THEN -1 ELSE c.tree END,
+         CASE WHEN n = 1 AND c.tree >= 0 THEN 0 ELSE c.level + 1 END,
+         CASE WHEN n = 1 AND c.tree >= 0 THEN c.tree ELSE run.idx END
+  FROM climb c JOIN run ON run.tree = c.tree AND run.level = c.level AND run.idx = c.idx // 8),
+ended AS (SELECT r, arg_max(h, step) AS h, arg_max(proof, step) AS proof FROM climb GROUP BY r)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM placed p JOIN ended e USING (r) JOIN node s ON s.tree = p.tree AND s.n = 1 JOIN upper t ON t.n = 1"""
+
+
 def op13_piece_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -149,5 +231,7 @@ QUERIES = {
     "op8_vector_dedup": (op8_vector_dedup, OP8_SQL),
     "op9_quality": (op9_quality, None),
     "op10_substrings": (op10_substrings, OP10_SQL),
+    "op11_centroid_clusters": (op11_centroid_clusters, OP11_SQL),
+    "op12_manifest": (op12_manifest, OP12_SQL),
     "op13_piece_bpe": (op13_piece_bpe, None),
 }
