@@ -19,10 +19,11 @@ from bindings.columns import SQL_STOP, sql_clean, sql_strip
 from bindings.curation import PAGE_SQL
 from bindings.tables import NEWS, big, day, news, table
 from newsflow.functions.dates import iso_seconds
+from newsflow.plans.analyze import backfill
 from newsflow.plans.ingest import ingest_news as ingest
 from newsflow.plans.two_stage import two_stage_run as two_stages
 from newsflow.sources import landing as L
-from newsflow.schemas import RESULTS
+from newsflow.schemas import RAW_NEWS, RESULTS
 from newsflow.session import scratch_path
 from newsflow.streaming.continuous import start_analysis
 
@@ -159,6 +160,45 @@ def stream_analysis(spark, sf_dir):
     return stored.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
 
 
+def _stored_news(spark, sf_dir):
+    """Documents as landed news, a ticker per language and twelve days, so that a day has
+    several articles."""
+    return news(spark, sf_dir).select(
+        "url", F.lit("").alias("title"), "content", F.lit(200).alias("status_code"), F.lit("").alias("fetched_at"),
+        F.lit("run-1").alias("run_id"), F.lit(None).cast("string").alias("error"), "pos", F.col("lang").alias("ticker"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 12).cast("int")).alias("date"),
+    )
+
+
+def plant_unreadable(spark, base, day_of_month):
+    """Put a file that is no parquet file into every stored day with that number."""
+    days = spark.read.schema(RAW_NEWS).option("ignoreCorruptFiles", True).parquet(base).select("ticker", "date").distinct()
+    bad = days.filter(F.dayofmonth("date") == day_of_month).withColumn("value", F.lit("this is no parquet file"))
+    bad.write.mode("append").partitionBy("ticker", "date").text(base)
+
+
+def backfill_outcomes(spark, sf_dir):
+    """All days are analysed. Then results of the 3rd and articles of the 5th turn unreadable,
+    and a second backfill does what is pending; days that it does not choose are kept."""
+    base, results = (scratch_path(spark, n) for n in ("raw", "results"))
+    L.land_by_date(_stored_news(spark, sf_dir), base).drop()
+    first = backfill(spark, base, results, BACKENDS).outcomes
+    plant_unreadable(spark, results, 3)
+    plant_unreadable(spark, base, 5)
+    second = backfill(spark, base, results, BACKENDS).outcomes
+    again = second.select("ticker", "date", F.col("status").alias("again"), F.col("row_count").alias("rows_again"), "error")
+    return first.drop("error").join(again, ["ticker", "date"], "left").select(
+        "ticker", day("date").alias("date"), "status", "row_count", F.coalesce("again", F.lit("kept")).alias("again"), F.coalesce("rows_again", F.lit(0)).alias("rows_again"), "error",
+    )
+
+
+_OUTCOMES = f"""WITH RECURSIVE {NEWS.replace('source AS ticker', 'lang AS ticker').replace('doc_id % 30', 'doc_id % 12')}, {SQL_ANALYZED},
+  days AS (SELECT ticker, date, count(DISTINCT summary) AS n FROM analyzed GROUP BY ticker, date)
+SELECT ticker, strftime(date, '%Y-%m-%d') AS date, 'done' AS status, n AS row_count,
+       CASE day(date) WHEN 3 THEN 'done' WHEN 5 THEN 'failed' ELSE 'kept' END AS again,
+       CASE day(date) WHEN 3 THEN n ELSE 0 END AS rows_again, CASE day(date) WHEN 5 THEN 'not a parquet file' END AS error FROM days"""
+
+
 _TWO_STAGES = f"""WITH RECURSIVE {_INGEST},
   day_news AS (SELECT row_number() OVER (ORDER BY ticker, url) AS id, * FROM (
     SELECT ticker, date, url, content, pos, 1 AS run FROM added
@@ -188,6 +228,7 @@ QUERIES = {
         f"""WITH {_INGEST} SELECT ticker, '{AS_OF}' AS date, url, pos, '' AS content, 'not fetched' AS reason
         FROM fresh JOIN pages USING (url) WHERE page_id % 5 = 0 AND (last_date IS NULL OR DATE '{AS_OF}' >= last_date)""",
     ),
+    "backfill_outcomes": (backfill_outcomes, _OUTCOMES),
     "two_stage_run": (two_stage_run, _TWO_STAGES),
     "stream_analysis": (
         stream_analysis,

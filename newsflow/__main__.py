@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from newsflow.plans.analyze import Backends, run_backfill
+from newsflow.plans.analyze import Backends, backfill
 from newsflow.plans.ingest import ingest_listings, ingest_news
 from newsflow.schemas import RAW_NEWS
 from newsflow.session import build_session, ship_packages
@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     analyze.add_argument("--ticker")
     analyze.add_argument("--date", help="YYYY-MM-DD; skips the pending test")
     analyze.add_argument("--mode", choices=["all", "pending"], default="pending")
+    analyze.add_argument("--report", type=int, default=50, help="failed days to name")
     analyze.add_argument("--weights", required=True, help="JSON file of word weights for the sentiment")
     return top
 
@@ -63,7 +64,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         with open(args.weights, encoding="utf-8") as file:
             weights = json.load(file)
-        run_backfill(
+        done = backfill(
             spark,
             args.base,
             args.results,
@@ -72,6 +73,11 @@ def main(argv: list[str] | None = None) -> None:
             args.date,
             args.mode,
         )
+        counts = {r["status"]: r["count"] for r in done.outcomes.groupBy("status").count().collect()}
+        print(f"days analysed: {counts.get('done', 0)}, failed: {counts.get('failed', 0)}")
+        # The report names the first of many.
+        for row in done.outcomes.filter("status = 'failed'").orderBy("ticker", "date").limit(args.report).collect():
+            print(f"failed: {row['ticker']} {row['date']}: {row['error']}")
 
 
 if __name__ == "__main__":

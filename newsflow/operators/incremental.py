@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsflow.functions.dates import not_before
@@ -92,19 +91,6 @@ def partition_stats(
     )
 
 
-def stored_partition_stats(rows: DataFrame) -> DataFrame:
-    """Statistics of a stored table by the write time of its files.
-
-    A table that was never written has no files to ask, and no rows either.
-    """
-    try:
-        return partition_stats(rows, F.col("_metadata.file_modification_time"))
-    except AnalysisException as problem:
-        if not (problem.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
-            raise
-        return partition_stats(rows, F.lit(None).cast("timestamp"))
-
-
 def pending_partitions(
     inputs: DataFrame,
     outputs: DataFrame,

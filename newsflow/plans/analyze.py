@@ -11,7 +11,6 @@ from newsflow.functions.text import STOP_WORDS, base_text, error_text, is_blank,
 from newsflow.operators.incremental import (
     in_partitions,
     select_partitions,
-    stored_partition_stats,
 )
 from newsflow.operators.keywords import frequent_terms, joined_keywords
 from newsflow.operators.ranking import dedup_keep_first
@@ -28,6 +27,7 @@ from newsflow.schemas import (
 )
 from newsflow.session import Scratch, materialise
 from newsflow.sources.landing import read_landed, write_partitions
+from newsflow.sources.probe import day_faults, day_row_counts, day_write_times, probe_files
 
 
 @dataclass(frozen=True)
@@ -147,7 +147,40 @@ def analyze_news(
     return merge_results(previous, current, dedup)
 
 
-def run_backfill(
+@dataclass(frozen=True)
+class Backfill:
+    """What became of the chosen days.
+
+    ``outcomes`` has one row per day: ``ticker, date, status`` (``done`` or ``failed``),
+    ``row_count`` written and the ``error``. ``results`` are the stored rows of these days.
+    """
+
+    outcomes: DataFrame
+    results: DataFrame
+
+
+def choose_days(
+    spark: SparkSession, base: str, results: str, ticker: str | None = None, date: str | None = None, mode: str = "pending"
+) -> DataFrame:
+    """Days to analyse. Write times come from the listings. Rows are counted, in footers,
+    only for days whose result is not older than its input, as all others are decided."""
+    inputs = day_write_times(spark, base)
+    if date is not None or mode == "all":
+        return select_partitions(inputs, None, ticker, date, mode)
+    if ticker is not None:
+        inputs = inputs.filter(F.col("ticker") == ticker)
+    times = materialise(
+        inputs.join(day_write_times(spark, results).withColumnRenamed("mtime", "_out_mtime"), list(PARTITION_KEYS), "left"), "write-times"
+    )
+    fresh = times.filter("_out_mtime >= mtime")
+    counts = day_row_counts(probe_files(spark, results, RESULTS, days=fresh))
+    outputs = times.filter("_out_mtime is not null").select(*PARTITION_KEYS, F.col("_out_mtime").alias("mtime")).join(counts, list(PARTITION_KEYS), "left")
+    # Older results are pending whatever they hold, so nobody counted them.
+    outputs = outputs.withColumn("row_count", F.coalesce("row_count", F.lit(1)))
+    return select_partitions(times.drop("_out_mtime"), outputs, mode=mode)
+
+
+def backfill(
     spark: SparkSession,
     base: str,
     results: str,
@@ -156,22 +189,40 @@ def run_backfill(
     date: str | None = None,
     mode: str = "pending",
     dedup: Sequence[str] = ("summary",),
-) -> DataFrame:
-    """Analyse stored news into a stored result table; returns the rows written.
-
-    What is pending follows from the write times of the files on both sides. The merged
-    rows are staged before they replace their partitions, and the staged copy is deleted.
+    deep: bool = True,
+) -> Backfill:
+    """Analyse stored news into a stored result table; a day that cannot be read does not
+    stop the others.
+
+    A day is pending without result, with an older, an empty or an unreadable one. All
+    files of the chosen days are probed first (``deep``: decoded, else their footers read).
+    A day with an unreadable file is reported with its error and left as it is; unreadable
+    earlier results are replaced. The merged rows are staged before they replace their
+    partitions, and the staged copy is deleted.
     """
     scratch = Scratch(spark)
-    news = read_landed(spark, base, RAW_NEWS)
-    previous = read_landed(spark, results, RESULTS)
-    chosen = materialise(
-        select_partitions(stored_partition_stats(news), stored_partition_stats(previous), ticker, date, mode), "selection"
+    chosen = materialise(choose_days(spark, base, results, ticker, date, mode), "selection").select(*PARTITION_KEYS)
+    faults = materialise(day_faults(probe_files(spark, base, RAW_NEWS, deep, chosen)), "faults")
+    sound = materialise(chosen.join(faults, list(PARTITION_KEYS), "left_anti"), "sound")
+    news = in_partitions(read_landed(spark, base, RAW_NEWS, skip_unreadable=True), sound)
+    previous = in_partitions(read_landed(spark, results, RESULTS, skip_unreadable=True), sound)
+    merged = scratch.keep(analyze_news(news, previous, backends, dedup), "results")
+    write_partitions(merged, results, "overwrite")
+    written = merged.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("row_count"))
+    failed = F.col("error").isNotNull()
+    outcomes = materialise(
+        chosen.join(faults, list(PARTITION_KEYS), "left")
+        .join(written, list(PARTITION_KEYS), "left")
+        .select(*PARTITION_KEYS, F.when(failed, "failed").otherwise("done").alias("status"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "error"),
+        "outcomes",
     )
-    merged = analyze_news(in_partitions(news, chosen), in_partitions(previous, chosen), backends, dedup)
-    write_partitions(scratch.keep(merged, "results"), results, "overwrite")
     scratch.drop()
-    return in_partitions(read_landed(spark, results, RESULTS), chosen)
+    return Backfill(outcomes, in_partitions(read_landed(spark, results, RESULTS, skip_unreadable=True), chosen))
+
+
+def run_backfill(spark: SparkSession, base: str, results: str, *args, **options) -> DataFrame:
+    """The backfill, for those who want the stored rows of the chosen days only."""
+    return backfill(spark, base, results, *args, **options).results
 
 
 def analysis_backfill(

@@ -45,6 +45,33 @@ def file_row_counts(rows: DataFrame) -> DataFrame:
     )
 
 
+def plain_path(path: Column) -> Column:
+    """One spelling for listed paths: some sources say "file:/x", some "file:///x"."""
+    return F.regexp_replace(path, r"^([a-z0-9+.-]+):/+", "$1:/")
+
+
+def _unescaped(text: Column) -> Column:
+    """What is behind percent signs; a plus is a plus."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def metadata_path(path: Column) -> Column:
+    """A path as rows name their file, which is URI-encoded, in the spelling of a listing."""
+    return _unescaped(plain_path(path))
+
+
+def path_value(path: Column, key: str) -> Column:
+    """The value of a partition column out of a folder name; null for the default folder."""
+    name = F.nullif(F.regexp_extract(path, f"/{key}=([^/]+)/", 1), F.lit(""))
+    value = _unescaped(name)
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
+
+
+def file_days(files: DataFrame) -> DataFrame:
+    """``path, size, modified`` of listed files with the ``ticker, date`` of their folder."""
+    return files.withColumns({"ticker": path_value(F.col("path"), "ticker"), "date": path_value(F.col("path"), "date").try_cast("date")})
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
@@ -53,10 +80,8 @@ def file_facts(
     files: DataFrame, counts: DataFrame, file_type: str, key: Column | None = None
 ) -> DataFrame:
     """One metadata row per landed file: key, size and rows (0 where none were read)."""
-    # File paths come as "file:/x" from one source and "file:///x" from the other.
-    plain = lambda c: F.regexp_replace(c, r"^([a-z0-9+.-]+):/+", "$1:/")
-    sized = files.select(plain(F.col("path")).alias("path"), "size", "modified")
-    counted = counts.select(plain(F.col("path")).alias("path"), "row_count")
+    sized = files.select(plain_path(F.col("path")).alias("path"), "size", "modified")
+    counted = counts.select(metadata_path(F.col("path")).alias("path"), "row_count")
     return sized.join(counted, "path", "left").select(
         F.lit(file_type).alias("file_type"),
         F.regexp_extract("path", r"ticker=([^/]+)", 1).alias("ticker"),

@@ -33,10 +33,14 @@ def union_by_name(old: DataFrame, new: DataFrame, fill: str = "") -> DataFrame:
     return one.unionByName(two, allowMissingColumns=True)
 
 
-def read_landed(spark: SparkSession, base: str, schema) -> DataFrame:
-    """The landed table, or no rows where nothing has landed yet."""
+def read_landed(spark: SparkSession, base: str, schema, skip_unreadable: bool = False) -> DataFrame:
+    """The landed table, or no rows where nothing has landed yet.
+
+    ``skip_unreadable`` goes on after a file that cannot be read, with the rows it had up
+    to there; ``sources.probe`` says which files those are.
+    """
     try:
-        return spark.read.schema(schema).parquet(base)
+        return spark.read.schema(schema).option("ignoreCorruptFiles", skip_unreadable).parquet(base)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
