@@ -16,8 +16,9 @@ from newsflow.operators import stats as S
 from newsflow.plans.analyze import merge_results as merge
 from newsflow.sources import files as FS
 from newsflow.sources import landing as L
+from newsflow.sources.listing import file_page
 from newsflow.sources.news import scan_csv, scan_pages
-from newsflow.session import scratch_path
+from newsflow.session import materialise, scratch_path
 
 
 def _recurring(spark, sf_dir):
@@ -146,6 +147,26 @@ def file_inventory(spark, sf_dir):
     ).agg((F.min("size") > 0).alias("has_bytes"))
 
 
+def file_pages(spark, sf_dir):
+    """Freshly landed files, listed by the executors and read a page at a time, in the order
+    of their paths; the days of every file, with the number of its page."""
+    base = scratch_path(spark, "landing")
+    L.land_by_date(_recurring(spark, sf_dir).drop("doc_id", "n_chars"), base).drop()
+    pages, key, n = None, None, 0
+    while True:
+        page = materialise(file_page(spark, base, 100, key), "page")
+        last = page.agg(F.max("path")).first()[0]
+        if last is None:
+            break
+        n, key = n + 1, last
+        numbered = page.withColumn("page", F.lit(n))
+        pages = numbered if pages is None else pages.unionByName(numbered)
+    days = FS.file_days(pages).groupBy("ticker", "date")
+    return days.agg((F.min("size") > 0).alias("has_bytes"), F.countDistinct("path").alias("n"), F.count(F.lit(1)).alias("listed")).select(
+        "ticker", day("date").alias("date"), "has_bytes", (F.col("n") == F.col("listed")).alias("once")
+    )
+
+
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -333,6 +354,10 @@ QUERIES = {
         file_inventory,
         f"WITH {NEWS} SELECT DISTINCT ticker, strftime(date, '%Y-%m-%d') AS date, true AS has_bytes FROM news",
     ),
+    "file_pages": (
+        file_pages,
+        f"WITH {NEWS} SELECT DISTINCT ticker, strftime(date, '%Y-%m-%d') AS date, true AS has_bytes, true AS once FROM news",
+    ),
     "land_quarantine": (
         land_quarantine,
         f"""WITH {NEWS} SELECT pos, CASE WHEN n_chars % 5 = 0 THEN 'no url' WHEN n_chars % 7 = 0 THEN 'no date'

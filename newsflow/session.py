@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Listings are pruned by conditions on the path.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # Whole pages and articles are wide rows: keep one Arrow batch small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }

@@ -3,9 +3,8 @@
 One unreadable file ends a Spark job that reads it. A probe lists the files, scans the
 table with such files skipped, and joins the two: a file that gave no rows, or fewer than
 its footer says, is a row with its error, and all others are read as ever. The scans are
-distributed and count only; contents are looked at for suspicious files alone. Files
-without bytes hold no rows and hinder no reader: like all of Spark's sources, the listing
-passes over them.
+distributed and count only; contents are looked at for suspicious files alone. A file
+without bytes, which scans pass over, counts as unreadable.
 """
 
 from __future__ import annotations
@@ -19,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from newsflow.operators.incremental import in_partitions
 from newsflow.schemas import PARTITION_KEYS
 from newsflow.session import materialise
-from newsflow.sources.files import all_files, file_days, metadata_path, plain_path
+from newsflow.sources.files import file_days, metadata_path, plain_path
+from newsflow.sources.listing import listed_files
 
 MAGIC = b"PAR1"
 #: Bytes of a file that Spark can hold in one row.
@@ -30,13 +30,7 @@ LARGEST_FOOTER = 64 << 20
 
 def listed(spark: SparkSession, base: str) -> DataFrame:
     """Files below ``base`` with their day, none where the folder is not there."""
-    try:
-        files = all_files(spark, base)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = spark.createDataFrame([], "path string, size bigint, modified timestamp")
-    return file_days(files)
+    return file_days(listed_files(spark, base))
 
 
 def _scan(spark: SparkSession, base: str, schema: str) -> DataFrame:
@@ -82,7 +76,7 @@ def _suspected(spark: SparkSession, suspects: DataFrame) -> DataFrame:
     """``path, footer_rows, footer_error`` of suspicious files, from their first and last
     bytes. Their paths come to the driver, which holds the listing of every scan anyway."""
     schema = "path string, footer_rows bigint, footer_error string"
-    paths = [r["raw_path"] for r in suspects.select("raw_path").collect()]
+    paths = [r["raw_path"] for r in suspects.filter("size > 0").select("raw_path").collect()]
     if not paths:
         return spark.createDataFrame([], schema)
     small = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(paths).filter(F.col("length") <= LARGEST_CONTENT)
@@ -123,7 +117,7 @@ def probe_files(spark: SparkSession, base: str, schema: str, deep: bool = False,
     lost = F.format_string("%d of %d rows can be read", F.coalesce("rows_read", F.lit(0)), F.coalesce("rows", "footer_rows"))
     short = F.coalesce("rows_read", F.lit(0)) < F.coalesce("rows", "footer_rows")
     silent = F.col("rows").isNull() & F.col("footer_rows").isNull()
-    error = F.coalesce("footer_error", F.when(short, lost), F.when(silent, F.lit("cannot be opened")))
+    error = F.coalesce("footer_error", F.when(short, lost), F.when(F.col("size") == 0, "empty file"), F.when(silent, "cannot be opened"))
     return found.join(told, "path", "left").select(
         "path", "size", "modified", "ticker", "date", F.coalesce("rows_read", F.lit(0)).alias("row_count"), error.isNull().alias("readable"), error.alias("error")
     )
