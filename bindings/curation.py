@@ -16,6 +16,7 @@ from newsflow.operators import stats as S
 from newsflow.plans.analyze import merge_results as merge
 from newsflow.sources import files as FS
 from newsflow.sources import landing as L
+from newsflow.sources.csv_files import csv_row_counts as csv_counts, legacy_url_heads
 from newsflow.sources.listing import file_page
 from newsflow.sources.news import scan_csv, scan_pages
 from newsflow.session import materialise, scratch_path
@@ -181,6 +182,59 @@ def file_row_counts(spark, sf_dir):
     return counts.select(FS.file_name(F.col("path")).alias("name"), "row_count")
 
 
+CSV_SCHEMA = "doc_id string, text string"
+_HEAD_SCHEMA = "url string, content string"
+
+
+def _csv_copy(spark, sf_dir):
+    """Documents as CSV, a ticker per language and six days; some days get a file whose
+    records have too many fields, and there is a file with a header only."""
+    base = scratch_path(spark, "csv")
+    rows = news(spark, sf_dir).select(F.col("lang").alias("ticker"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 6).cast("int")).alias("date"), "doc_id", F.col("content").alias("text"))
+    csv = lambda df, mode="append": df.write.mode(mode).option("header", True).option("escape", '"').partitionBy("ticker", "date").csv(base)
+    csv(rows)
+    csv(rows.filter("dayofmonth(date) = 3").withColumns({"more": F.lit("x"), "still_more": F.lit("y")}))
+    empty = rows.filter("false").drop("ticker", "date").coalesce(1)
+    empty.write.option("header", True).csv(f"{base}/ticker=none/date=2024-01-01")
+    return base
+
+
+def csv_row_counts(spark, sf_dir):
+    """Rows of all CSV files of a day, and what is wrong with the days of broken ones."""
+    counts = FS.file_days(csv_counts(spark, _csv_copy(spark, sf_dir), CSV_SCHEMA))
+    return counts.groupBy("ticker", day("date").alias("date")).agg(
+        F.sum("row_count").alias("row_count"), F.max(F.regexp_extract("error", "have more than .*", 0)).alias("error")
+    )
+
+
+def legacy_heads(spark, sf_dir):
+    """Documents in one folder per day: CSV alone, CSV beside parquet with other URLs, and
+    CSV beside a parquet file that cannot be read. Of each language the last day only has
+    a third of its documents."""
+    base = scratch_path(spark, "legacy")
+    rows = news(spark, sf_dir).select(F.col("lang").alias("ticker"), (F.col("doc_id") % 3 + 1).alias("d"), F.when(F.col("doc_id") % 4 > 0, F.col("url")).alias("url"), "content", "pos")
+    rows = materialise(rows, "legacy-rows")
+    for ticker in [r["ticker"] for r in rows.select("ticker").distinct().orderBy("ticker").collect()]:
+        for d in (1, 2, 3):
+            folder, some = f"{base}/{ticker}/2024-01-0{d}", rows.filter((F.col("ticker") == ticker) & (F.col("d") == d)).select("url", "content", "pos").coalesce(1).sortWithinPartitions("pos").drop("pos")
+            some.write.option("header", True).option("escape", '"').csv(f"{folder}/news.csv")
+            if d == 2:
+                some.withColumn("url", F.concat("url", F.lit("?p"))).write.parquet(f"{folder}/news.parquet")
+            if d == 3:
+                broken = spark.range(1).select(F.lit("this is no parquet file").alias("value"))
+                broken.write.option("compression", "none").text(f"{folder}/news.parquet")
+    heads = legacy_url_heads(spark, base, 15, _HEAD_SCHEMA)
+    return heads.select("ticker", day("date").alias("date"), "url", big("rank"))
+
+
+_LEGACY_HEADS = f"""WITH {NEWS}, placed AS (
+  SELECT lang AS ticker, doc_id % 3 + 1 AS d, CASE WHEN doc_id % 4 > 0 THEN url END AS url,
+         row_number() OVER (PARTITION BY lang, doc_id % 3 ORDER BY pos) AS place FROM news)
+SELECT ticker, '2024-01-0' || d AS date, CASE d WHEN 2 THEN url || '?p' ELSE url END AS url, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, d ORDER BY place) AS rank FROM placed
+  WHERE url IS NOT NULL AND (d = 2 OR (d = 1 AND place <= 30))) WHERE rank <= 15"""
+
+
 def file_facts(spark, sf_dir):
     """Facts of freshly landed files, summed per partition."""
     base = scratch_path(spark, "landing")
@@ -354,6 +408,14 @@ QUERIES = {
         file_inventory,
         f"WITH {NEWS} SELECT DISTINCT ticker, strftime(date, '%Y-%m-%d') AS date, true AS has_bytes FROM news",
     ),
+    "csv_row_counts": (
+        csv_row_counts,
+        f"""WITH {NEWS}, days AS (SELECT lang AS ticker, CAST(doc_id % 6 AS INTEGER) AS d, count(*) AS n FROM news GROUP BY ALL)
+        SELECT ticker, '2024-01-0' || (d + 1) AS date, CAST(n AS BIGINT) AS row_count,
+               CASE d WHEN 2 THEN 'have more than 2 fields' END AS error FROM days
+        UNION ALL SELECT 'none', '2024-01-01', 0, NULL""",
+    ),
+    "legacy_heads": (legacy_heads, _LEGACY_HEADS),
     "file_pages": (
         file_pages,
         f"WITH {NEWS} SELECT DISTINCT ticker, strftime(date, '%Y-%m-%d') AS date, true AS has_bytes, true AS once FROM news",

@@ -25,6 +25,7 @@ from newsflow.plans.two_stage import two_stage_run as two_stages
 from newsflow.sources import landing as L
 from newsflow.schemas import RAW_NEWS, RESULTS
 from newsflow.session import scratch_path
+from newsflow.streaming.appending import start_appending_analysis
 from newsflow.streaming.continuous import start_analysis
 
 AS_OF = "2024-01-10"
@@ -137,10 +138,8 @@ def two_stage_run(spark, sf_dir):
     return results.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
 
 
-def stream_analysis(spark, sf_dir):
-    """Documents land in two goes, and a stream analyses what is new after each."""
-    base, results, checkpoint = (scratch_path(spark, n) for n in ("raw", "results", "stream"))
-    rows = news(spark, sf_dir).select(
+def _streamed_news(spark, sf_dir):
+    return news(spark, sf_dir).select(
         "url",
         F.lit("").alias("title"),
         "content",
@@ -153,13 +152,27 @@ def stream_analysis(spark, sf_dir):
         "date",
         "lang",
     )
+
+
+def _in_two_goes(spark, sf_dir, start):
+    """Documents land in two goes, and a stream analyses what is new after each."""
+    base, results, checkpoint = (scratch_path(spark, n) for n in ("raw", "results", "stream"))
+    rows = _streamed_news(spark, sf_dir)
     for batch in ("lang <> 'en'", "lang = 'en'"):
         L.land_by_date(rows.filter(batch).drop("lang"), base).drop()
-        start_analysis(spark, base, results, checkpoint, BACKENDS).awaitTermination()
+        start(spark, base, results, checkpoint, BACKENDS).awaitTermination()
     stored = L.read_landed(spark, results, RESULTS)
     return stored.select("ticker", day("date").alias("date"), "url", "summary", "sentiment", "keywords")
 
 
+def stream_analysis(spark, sf_dir):
+    return _in_two_goes(spark, sf_dir, start_analysis)
+
+
+def stream_appending(spark, sf_dir):
+    return _in_two_goes(spark, sf_dir, start_appending_analysis)
+
+
 def _stored_news(spark, sf_dir):
     """Documents as landed news, a ticker per language and twelve days, so that a day has
     several articles."""
@@ -217,6 +230,11 @@ SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keyw
     row_number() OVER (PARTITION BY ticker, date, coalesce(summary, '') ORDER BY run, pos, url) AS k
   FROM day_news LEFT JOIN summed USING (id) JOIN felt USING (id) LEFT JOIN kw USING (id)) WHERE k = 1"""
 
+_STREAMED = f"""WITH RECURSIVE {NEWS}, {SQL_ANALYZED}
+SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY (lang = 'en'), pos) AS k
+  FROM analyzed JOIN (SELECT url, lang FROM news) USING (url)) WHERE k = 1"""
+
 QUERIES = {
     "ingest_news": (
         ingest_news,
@@ -230,11 +248,6 @@ QUERIES = {
     ),
     "backfill_outcomes": (backfill_outcomes, _OUTCOMES),
     "two_stage_run": (two_stage_run, _TWO_STAGES),
-    "stream_analysis": (
-        stream_analysis,
-        f"""WITH RECURSIVE {NEWS}, {SQL_ANALYZED}
-        SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, summary, sentiment, keywords FROM (
-          SELECT *, row_number() OVER (PARTITION BY ticker, date, summary ORDER BY (lang = 'en'), pos) AS k
-          FROM analyzed JOIN (SELECT url, lang FROM news) USING (url)) WHERE k = 1""",
-    ),
+    "stream_analysis": (stream_analysis, _STREAMED),
+    "stream_appending": (stream_appending, _STREAMED),
 }
