@@ -13,6 +13,7 @@ rows of a key within one input file are not combined; a batch is bounded by its
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +27,20 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
+@contextmanager
+def rocks_state(spark: SparkSession):
+    """Streams that start in here keep their state in RocksDB; the session is as before."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+
+
 class FirstOfKey(StatefulProcessor):
     """Emits the first row of a key, by the columns of ``order``, the first time it comes."""
 
@@ -94,23 +109,21 @@ def start_appending_analysis(
 
     The result folder belongs to this stream: its file log says which files count, so a
     batch that failed half-way leaves nothing behind and a finished one is not done again.
-    The state lives in RocksDB below the checkpoint. Needs the session setting
-    ``spark.sql.streaming.stateStore.providerClass``, which is set if it is not.
+    The state lives in RocksDB below the checkpoint.
     """
-    if spark.conf.get(_PROVIDER, None) != ROCKS:
-        spark.conf.set(_PROVIDER, ROCKS)
     news = spark.readStream.schema(RAW_NEWS).option("maxFilesPerTrigger", max_files).parquet(landed)
     fields = T.StructType.fromDDL(RESULTS).names
     first = first_results(analyze_articles(news, backends).select(*fields), dedup, known, ttl_ms)
-    return (
-        first.writeStream.format("parquet")
-        .partitionBy(*PARTITION_KEYS)
-        .option("path", results)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with rocks_state(spark):
+        return (
+            first.writeStream.format("parquet")
+            .partitionBy(*PARTITION_KEYS)
+            .option("path", results)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def appended_results(spark: SparkSession, results: str) -> DataFrame:
