@@ -20,13 +20,14 @@ from bindings.curation import PAGE_SQL
 from bindings.tables import NEWS, big, day, news, table
 from newsflow.functions.dates import iso_seconds
 from newsflow.plans.analyze import backfill
-from newsflow.plans.ingest import ingest_news as ingest
+from newsflow.plans.ingest import ingest_news as ingest, new_links
 from newsflow.plans.two_stage import two_stage_run as two_stages
 from newsflow.sources import landing as L
 from newsflow.schemas import RAW_NEWS, RESULTS
 from newsflow.session import scratch_path
 from newsflow.streaming.appending import start_appending_analysis
 from newsflow.streaming.continuous import start_analysis
+from newsflow.streaming.pages import start_page_ingest, write_links
 
 AS_OF = "2024-01-10"
 TODAY = dt.date.fromisoformat(AS_OF)
@@ -106,6 +107,31 @@ def ingest_errors(spark, sf_dir):
     return spark.read.parquet(L.quarantine_path(base)).select("ticker", day("date").alias("date"), "url", "pos", "content", "reason")
 
 
+def stream_ingest(spark, sf_dir):
+    """Links of all cards wait for their pages, which come in two goes, every fifth never.
+    A later crawl lets the watermark pass, and links still waiting become errors."""
+    base, links, pages, checkpoint = (scratch_path(spark, n) for n in ("raw", "links", "pages", "stream"))
+    earlier = landed(spark, sf_dir)
+    L.land_by_date(earlier, base).drop()
+    at = lambda text: F.lit(text).cast("timestamp")
+    write_links(new_links(cards(spark, sf_dir), L.read_landed(spark, base, earlier.schema), F.lit(TODAY)), links, at(AS_OF))
+    fetched = table(spark, sf_dir, "pages").filter("page_id % 5 <> 0").select(
+        "page_id", "url", "html", F.lit(200).alias("status_code"), F.lit(None).cast("string").alias("fetch_kind"),
+        (at(AS_OF) + F.make_dt_interval(mins=(F.col("page_id") % 50).cast("int"))).alias("fetched_at"),
+    )
+    for some in ("page_id % 2 = 0", "page_id % 2 = 1"):
+        fetched.filter(some).drop("page_id").write.mode("append").parquet(pages)
+        start_page_ingest(spark, links, pages, base, checkpoint, "run-1", "6 hours").awaitTermination()
+    late = at("2024-01-20")
+    write_links(spark.range(1).select(F.lit("T0").alias("ticker"), F.col("id").alias("pos"), F.lit("later").alias("url"), F.lit(None).cast("date").alias("last_date")), links, late)
+    other = [F.lit("other").alias("url"), F.lit("").alias("html"), F.lit(200).alias("status_code"), F.lit(None).cast("string").alias("fetch_kind"), late.alias("fetched_at")]
+    spark.range(1).select(*other).write.mode("append").parquet(pages)
+    start_page_ingest(spark, links, pages, base, checkpoint, "run-1", "6 hours").awaitTermination()
+    columns = ["ticker", day("date").alias("date"), "url", "title", "content", "pos"]
+    added = L.read_landed(spark, base, earlier.schema).filter("run_id = 'run-1'").select(*columns, F.lit(None).cast("string").alias("reason"))
+    return added.unionByName(spark.read.parquet(L.quarantine_path(base)).filter("run_id = 'run-1'").select(*columns, "reason"))
+
+
 _INGEST = f"""linked AS (
     SELECT 'T' || (user_id % 8) AS ticker, event_id AS pos, event_type, CAST(ts AS DATE) AS date, url, props
     FROM events JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)),
@@ -246,6 +272,13 @@ QUERIES = {
         f"""WITH {_INGEST} SELECT ticker, '{AS_OF}' AS date, url, pos, '' AS content, 'not fetched' AS reason
         FROM fresh JOIN pages USING (url) WHERE page_id % 5 = 0 AND (last_date IS NULL OR DATE '{AS_OF}' >= last_date)""",
     ),
+    "stream_ingest": (
+        stream_ingest,
+        f"""WITH {_INGEST} SELECT ticker, '{AS_OF}' AS date, url, title, content, pos, NULL AS reason FROM added JOIN (SELECT url, page_id FROM pages) USING (url)
+        WHERE page_id % 5 <> 0
+        UNION ALL SELECT ticker, '{AS_OF}', url, '', '', pos, 'not fetched'
+        FROM fresh JOIN pages USING (url) WHERE page_id % 5 = 0 AND (last_date IS NULL OR DATE '{AS_OF}' >= last_date)""",
+    ),
     "backfill_outcomes": (backfill_outcomes, _OUTCOMES),
     "two_stage_run": (two_stage_run, _TWO_STAGES),
     "stream_analysis": (stream_analysis, _STREAMED),

@@ -95,15 +95,22 @@ def ingest_rows(
     # A page is parsed once even when several tickers link to it.
     wanted = pages.join(links.select("url"), "url", "left_semi")
     articles = one_article_per_url(to_articles(wanted, F.lit(as_of), zone=zone, nested_p=nested_p))
+    return article_rows(links, articles, F.lit(as_of), run_id, fetched_at)
+
+
+def article_rows(links: DataFrame, articles: DataFrame, as_of: Column, run_id: str, fetched_at: Column) -> DataFrame:
+    """One raw news row per link, with the one article of its URL or with the error that
+    there is none. ``as_of`` and ``fetched_at`` may be columns of the links."""
     found = articles.withColumn("_found", F.lit(True))
-    rows = links.select("ticker", "pos", "url", "last_date").join(found, "url", "left")
+    given = links.select("ticker", "pos", "url", "last_date", as_of.alias("_as_of"), fetched_at.alias("_at"))
+    rows = given.join(found, "url", "left")
     missing = F.col("_found").isNull()
     rows = rows.withColumns({
-        "date": F.when(missing, F.lit(as_of)).otherwise(F.col("date")),
+        "date": F.when(missing, F.col("_as_of")).otherwise(F.col("date")),
         "error": F.when(missing, LISTED_ERROR).otherwise(F.col("error")),
     })
     kept = rows.filter(not_before(F.col("date"), F.col("last_date"), keep_null=False))
-    return with_lineage(kept, run_id, fetched_at).select(
+    return with_lineage(kept, run_id, F.col("_at")).select(
         "url",
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce("content", F.lit("")).alias("content"),

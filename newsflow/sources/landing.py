@@ -78,6 +78,14 @@ def quarantine_path(base: str) -> str:
     return f"{base.rstrip('/')}.quarantine"
 
 
+def append_new(rows: DataFrame, path: str) -> None:
+    """Append the rows that are not stored yet, compared in all columns, so that a batch
+    that is run again adds nothing. Rows repeated within a batch stay as often as they are."""
+    whole = F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(rows.columns)])), 256))
+    stored = read_landed(rows.sparkSession, path, rows.schema).select(whole.alias("_whole"))
+    rows.withColumn("_whole", whole).join(stored, "_whole", "left_anti").drop("_whole").write.mode("append").parquet(path)
+
+
 @dataclass(frozen=True)
 class Landing:
     """What became of a batch: every row is added, quarantined or rejected.
@@ -112,7 +120,8 @@ def land_by_date(
     copy, so that a failure in between leaves the merged rows on disk.
 
     Rows without ticker, URL or date, and ``held`` ones, are appended to the quarantine
-    table with the reason (``why`` for held ones); by default it lies beside ``base``.
+    table with the reason (``why`` for held ones), once each however often a batch is run;
+    by default it lies beside ``base``.
 
     The batch is written once before it is compared, so pages are not parsed twice. The
     comparison handles keys and row numbers only. What it rejects, few rows as a rule, is
@@ -136,7 +145,7 @@ def land_by_date(
         write_partitions(merged, base, "overwrite")
     else:
         write_partitions(added, base, "append")
-    bad.write.mode("append").parquet(quarantine or quarantine_path(base))
+    append_new(bad, quarantine or quarantine_path(base))
     return Landing(added, bad, good.join(rejected, "_row", "left_semi").drop("_row"), scratch)
 
 
