@@ -16,9 +16,12 @@ from bindings.tables import (
     second,
     table,
 )
+from newsflow.operators import folds
 from newsflow.operators import history as H
 from newsflow.operators import stats as S
+from newsflow.operators.folds import advance
 from newsflow.schemas import FILE_KEY_CHARS, LATEST_RUNS
+from newsflow.session import scratch_path
 
 
 def _stats_out(df):
@@ -116,7 +119,7 @@ def history_start(spark, sf_dir):
     )
 
 
-def history_state(spark, sf_dir):
+def _history_log(spark, sf_dir):
     """Every event is a change: signups and views start a run, the others finish it."""
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("run_id"), "event_id", "event_type", "props",
@@ -135,10 +138,13 @@ def history_state(spark, sf_dir):
         ),
         F.col("ts"), F.when(F.col("done"), "success").otherwise("failed"), ["run_id"],
     ).withColumnRenamed("completed_at", "changed_at").drop("done")
-    log = starts.unionByName(ends, allowMissingColumns=True)
-    state = H.history_state(
-        log, ["changed_at", "event_id"], ["run_id", "props"], ["article_count", "error_message"]
-    )
+    return starts.unionByName(ends, allowMissingColumns=True)
+
+
+_HISTORY = (["changed_at", "event_id"], ["run_id", "props"], ["article_count", "error_message"])
+
+
+def _shown_history(state):
     times = {c: second(c) for c in ("started_at", "completed_at", "created_at", "updated_at")}
     return state.drop("id").withColumns(times)
 
@@ -162,11 +168,28 @@ SELECT run_id, arg_min(props, ord) FILTER (status = 'running') AS props,
 FROM log GROUP BY run_id HAVING bool_or(status = 'running')"""
 
 
-def dag_run_state(spark, sf_dir):
+def history_state(spark, sf_dir):
+    return _shown_history(H.history_state(_history_log(spark, sf_dir), *_HISTORY))
+
+
+def _in_three(spark, log, by, fold):
+    """The log comes in three parts, each with early and late changes, and the first part
+    comes once more at the end."""
+    path = scratch_path(spark, "state")
+    for part in (2, 0, 1, 2):
+        state = advance(spark, path, fold, log.filter(by % 3 == part))
+    return fold.result(state)
+
+
+def history_folded(spark, sf_dir):
+    return _shown_history(_in_three(spark, _history_log(spark, sf_dir), F.col("event_id"), folds.history_fold(*_HISTORY)))
+
+
+def _run_log(spark, sf_dir):
     """Runs of two users each: starts, successes, failures, and finishes before any start."""
     kind = F.col("event_type")
     started, done = kind.isin("signup", "view"), kind.isin("purchase", "click")
-    log = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.floor(F.col("user_id") / 2).alias("run_id"),
         "event_id",
         F.when(started, kind).alias("dag_id"),
@@ -177,12 +200,22 @@ def dag_run_state(spark, sf_dir):
         F.when(kind == "error", F.concat(F.lit("e"), F.floor("value").cast("string"))).alias("error_message"),
         F.col("ts").alias("changed_at"),
     )
-    runs = H.dag_run_state(log, ["changed_at", "event_id"])
+
+
+def _shown_runs(runs):
     return runs.withColumns(
         {"execution_date": day("execution_date"), "started_at": second("started_at"), "completed_at": second("completed_at")}
     )
 
 
+def dag_run_state(spark, sf_dir):
+    return _shown_runs(H.dag_run_state(_run_log(spark, sf_dir), ["changed_at", "event_id"]))
+
+
+def dag_run_folded(spark, sf_dir):
+    return _shown_runs(_in_three(spark, _run_log(spark, sf_dir), F.col("event_id"), folds.dag_run_fold(["changed_at", "event_id"])))
+
+
 _DAG_RUNS = f"""WITH {_CHANGES},
 runs AS (SELECT CAST(run_id AS BIGINT) // 2 AS run_id, * EXCLUDE (run_id) FROM log),
 first AS (SELECT run_id, min(ord) AS f FROM runs WHERE status = 'running' GROUP BY run_id),
@@ -212,10 +245,12 @@ def run_upsert(spark, sf_dir):
     )
 
 
-def file_upsert(spark, sf_dir):
-    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    log = table(spark, sf_dir, "lineitem").select(
-        *order,
+_FILE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _file_log(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        *_FILE_ORDER,
         F.when(F.col("l_returnflag") == "R", "raw").otherwise("result").alias("file_type"),
         F.col("l_linestatus").alias("ticker"),
         F.to_date("l_shipdate").alias("file_date"),
@@ -228,7 +263,15 @@ def file_upsert(spark, sf_dir):
         F.col("l_quantity").cast("bigint").alias("row_count"),
         F.col("l_suppkey").alias("uploaded_at"),
     )
-    return H.file_upsert(log, order, key_chars=FILE_KEY_CHARS).withColumn("file_date", day("file_date"))
+
+
+def file_upsert(spark, sf_dir):
+    return H.file_upsert(_file_log(spark, sf_dir), _FILE_ORDER, key_chars=FILE_KEY_CHARS).withColumn("file_date", day("file_date"))
+
+
+def file_folded(spark, sf_dir):
+    fold = folds.file_fold(_FILE_ORDER, key_chars=FILE_KEY_CHARS)
+    return _in_three(spark, _file_log(spark, sf_dir), F.col("l_orderkey"), fold).withColumn("file_date", day("file_date"))
 
 
 _FILE_UPSERT = """WITH log AS (
@@ -343,7 +386,10 @@ QUERIES = {
         FROM links""",
     ),
     "history_state": (history_state, _HISTORY_STATE),
+    "history_folded": (history_folded, _HISTORY_STATE),
     "dag_run_state": (dag_run_state, _DAG_RUNS),
+    "dag_run_folded": (dag_run_folded, _DAG_RUNS),
+    "file_folded": (file_folded, _FILE_UPSERT),
     "run_upsert": (
         run_upsert,
         """SELECT user_id AS run_id, arg_min(event_type, (ts, event_id)) AS dag_id,
