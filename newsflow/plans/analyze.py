@@ -27,7 +27,7 @@ from newsflow.schemas import (
 )
 from newsflow.session import Scratch, materialise
 from newsflow.sources.landing import read_landed, write_partitions
-from newsflow.sources.probe import day_faults, day_row_counts, day_write_times, probe_files
+from newsflow.sources.probe import day_faults, day_row_counts, day_write_times, is_read_failure, probe_files
 
 
 @dataclass(frozen=True)
@@ -169,10 +169,11 @@ def choose_days(
         return select_partitions(inputs, None, ticker, date, mode)
     if ticker is not None:
         inputs = inputs.filter(F.col("ticker") == ticker)
-    times = materialise(
-        inputs.join(day_write_times(spark, results).withColumnRenamed("mtime", "_out_mtime"), list(PARTITION_KEYS), "left"), "write-times"
-    )
+    written = day_write_times(spark, results).select(*PARTITION_KEYS, F.col("mtime").alias("_out_mtime"))
+    times = materialise(inputs.join(written, list(PARTITION_KEYS), "left"), "write-times")
     fresh = times.filter("_out_mtime >= mtime")
+    if fresh.isEmpty():
+        return times.drop("_out_mtime")
     counts = day_row_counts(probe_files(spark, results, RESULTS, days=fresh))
     outputs = times.filter("_out_mtime is not null").select(*PARTITION_KEYS, F.col("_out_mtime").alias("mtime")).join(counts, list(PARTITION_KEYS), "left")
     # Older results are pending whatever they hold, so nobody counted them.
@@ -189,33 +190,50 @@ def backfill(
     date: str | None = None,
     mode: str = "pending",
     dedup: Sequence[str] = ("summary",),
-    deep: bool = True,
+    check_first: bool = False,
 ) -> Backfill:
     """Analyse stored news into a stored result table; a day that cannot be read does not
     stop the others.
 
-    A day is pending without result, with an older, an empty or an unreadable one. All
-    files of the chosen days are probed first (``deep``: decoded, else their footers read).
-    A day with an unreadable file is reported with its error and left as it is; unreadable
-    earlier results are replaced. The merged rows are staged before they replace their
-    partitions, and the staged copy is deleted.
+    A day is pending without result, with an older, an empty or an unreadable one. A day
+    with an unreadable file is reported with its error and left as it is; unreadable
+    earlier results are replaced. As a rule all files are sound, so the analysis just reads
+    them. If that fails, all files of the chosen days are decoded to find the faulty ones,
+    and the other days are analysed. ``check_first`` looks before the analysis: better
+    where faults are frequent, or where doing it twice costs more than reading twice. The
+    merged rows are staged before they replace their partitions, and the staged copy is
+    deleted.
     """
-    scratch = Scratch(spark)
-    chosen = materialise(choose_days(spark, base, results, ticker, date, mode), "selection").select(*PARTITION_KEYS)
-    faults = materialise(day_faults(probe_files(spark, base, RAW_NEWS, deep, chosen)), "faults")
-    sound = materialise(chosen.join(faults, list(PARTITION_KEYS), "left_anti"), "sound")
-    news = in_partitions(read_landed(spark, base, RAW_NEWS, skip_unreadable=True), sound)
-    previous = in_partitions(read_landed(spark, results, RESULTS, skip_unreadable=True), sound)
-    merged = scratch.keep(analyze_news(news, previous, backends, dedup), "results")
+    scratch, keys = Scratch(spark), list(PARTITION_KEYS)
+    chosen = materialise(choose_days(spark, base, results, ticker, date, mode), "selection")
+
+    def analysed(faults: DataFrame, skip_unreadable: bool) -> DataFrame:
+        days = chosen.select(*keys)
+        sound = days if faults.isEmpty() else materialise(days.join(faults, keys, "left_anti"), "sound")
+        news = in_partitions(read_landed(spark, base, RAW_NEWS, skip_unreadable), sound)
+        previous = in_partitions(read_landed(spark, results, RESULTS, skip_unreadable=True), sound)
+        return scratch.keep(analyze_news(news, previous, backends, dedup), "results")
+
+    def checked() -> DataFrame:
+        return materialise(day_faults(probe_files(spark, base, RAW_NEWS, True, chosen)), "faults")
+
+    if check_first:
+        faults = checked()
+        merged = analysed(faults, True)
+    else:
+        faults = chosen.filter("smallest = 0").select(*keys, F.lit("empty file").alias("error"))
+        try:
+            merged = analysed(faults, False)
+        except Exception as problem:  # noqa: BLE001
+            if not is_read_failure(problem):
+                raise
+            faults = checked()
+            merged = analysed(faults, True)
     write_partitions(merged, results, "overwrite")
-    written = merged.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("row_count"))
-    failed = F.col("error").isNotNull()
-    outcomes = materialise(
-        chosen.join(faults, list(PARTITION_KEYS), "left")
-        .join(written, list(PARTITION_KEYS), "left")
-        .select(*PARTITION_KEYS, F.when(failed, "failed").otherwise("done").alias("status"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "error"),
-        "outcomes",
-    )
+    written = merged.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    status = F.when(F.col("error").isNotNull(), "failed").otherwise("done").alias("status")
+    outcomes = chosen.join(faults, keys, "left").join(written, keys, "left")
+    outcomes = materialise(outcomes.select(*keys, status, F.coalesce("row_count", F.lit(0)).alias("row_count"), "error"), "outcomes")
     scratch.drop()
     return Backfill(outcomes, in_partitions(read_landed(spark, results, RESULTS, skip_unreadable=True), chosen))
 

@@ -82,7 +82,13 @@ def append_new(rows: DataFrame, path: str) -> None:
     """Append the rows that are not stored yet, compared in all columns, so that a batch
     that is run again adds nothing. Rows repeated within a batch stay as often as they are."""
     whole = F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(rows.columns)])), 256))
-    stored = read_landed(rows.sparkSession, path, rows.schema).select(whole.alias("_whole"))
+    try:
+        stored = rows.sparkSession.read.schema(rows.schema).parquet(path).select(whole.alias("_whole"))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows.write.mode("append").parquet(path)
+        return
     rows.withColumn("_whole", whole).join(stored, "_whole", "left_anti").drop("_whole").write.mode("append").parquet(path)
 
 

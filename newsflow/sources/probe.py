@@ -129,11 +129,17 @@ def day_faults(probed: DataFrame) -> DataFrame:
 
 
 def day_write_times(spark: SparkSession, base: str) -> DataFrame:
-    """``ticker, date, mtime`` of every stored day, from the listing; no file is opened."""
-    return listed(spark, base).groupBy(*PARTITION_KEYS).agg(F.max("modified").alias("mtime"))
+    """``ticker, date, mtime, smallest`` of every stored day: its last write time and the
+    size of its smallest file, from the listing; no file is opened."""
+    return listed(spark, base).groupBy(*PARTITION_KEYS).agg(F.max("modified").alias("mtime"), F.min("size").alias("smallest"))
 
 
 def day_row_counts(probed: DataFrame) -> DataFrame:
     """``ticker, date, row_count`` of probed days; 0 where a file of the day is unreadable."""
     every = F.bool_and("readable")
     return probed.groupBy(*PARTITION_KEYS).agg(F.when(every, F.sum("row_count")).otherwise(0).alias("row_count"))
+
+
+def is_read_failure(problem: Exception) -> bool:
+    """Whether a job ended because a file could not be read."""
+    return "FAILED_READ_FILE" in str(problem)

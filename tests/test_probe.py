@@ -7,6 +7,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from newsflow.plans.analyze import Backends, backfill, choose_days
 from newsflow.schemas import RAW_NEWS, RESULTS
@@ -91,14 +92,15 @@ def outcomes(done):
     return {(r["ticker"], r["date"].day): (r["status"], r["row_count"], r["error"]) for r in done.outcomes.collect()}
 
 
-def test_a_bad_day_does_not_stop_the_others(spark, tmp_path):
+@pytest.mark.parametrize("check_first", [False, True])
+def test_a_bad_day_does_not_stop_the_others(spark, tmp_path, check_first):
     base, results = str(tmp_path / "raw"), str(tmp_path / "results")
     days = [("A", 1), ("A", 2), ("B", 2), ("B", 3)]
     stored(spark, base, days)
     overwrite(files_of(base, "A", 2)[0], lambda data: data[:100])
     # A sound file beside a bad one: the day is not analysed in part.
     stored(spark, base, [("A", 2)], n=3)
-    done = backfill(spark, base, results, BACKENDS)
+    done = backfill(spark, base, results, BACKENDS, check_first=check_first)
     assert outcomes(done) == {
         ("A", 1): ("done", 1, None),
         ("A", 2): ("failed", 0, "cut off: no footer at the end"),
@@ -122,6 +124,21 @@ def test_a_damaged_input_is_reported_though_its_footer_is_sound(spark, tmp_path)
     assert got[("A", 2)] == ("done", 1, None)
 
 
+def test_an_input_without_bytes_is_reported(spark, tmp_path):
+    base, results = str(tmp_path / "raw"), str(tmp_path / "results")
+    stored(spark, base, [("A", 1), ("A", 2)])
+    overwrite(files_of(base, "A", 1)[0], lambda data: b"")
+    assert outcomes(backfill(spark, base, results, BACKENDS)) == {("A", 1): ("failed", 0, "empty file"), ("A", 2): ("done", 1, None)}
+
+
+def test_other_failures_are_raised(spark, tmp_path):
+    base, results = str(tmp_path / "raw"), str(tmp_path / "results")
+    stored(spark, base, [("A", 1)])
+    broken = Backends(sentiment_weights={"good": 1}, summarise=lambda c: F.raise_error(F.lit("out of order")).cast("string"))
+    with pytest.raises(Exception, match="out of order"):
+        backfill(spark, base, results, broken)
+
+
 def test_an_unreadable_or_empty_result_is_pending(spark, tmp_path):
     base, results = str(tmp_path / "raw"), str(tmp_path / "results")
     stored(spark, base, [("A", 1), ("A", 2), ("A", 3)])
