@@ -84,3 +84,79 @@ def test_fixed_matches_stand_and_additions_do_not_overlap_them(found):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.report(P.find_personal_data(docs)).collect() == []
+
+
+def digits_of(rng, n):
+    return "".join(rng.choice("0123456789") for _ in range(n))
+
+
+def card(rng):
+    head = "4" + digits_of(rng, 14)
+    return next(head + c for c in "0123456789" if luhn(head + c))
+
+
+def address(rng):
+    word = lambda: "".join(rng.choice("abcdefghiklmnorstu") for _ in range(rng.randint(3, 8)))
+    return word(), f"{word()}.{rng.choice(['org', 'com', 'net', 'example.com'])}"
+
+
+FIXED = [
+    lambda r: "{}@{}".format(*address(r)),
+    lambda r: ".".join(str(r.randint(1, 255)) for _ in range(4)),
+    card,
+    lambda r: f"+{r.choice(['1', '49', '44'])} ({digits_of(r, 3)}) 555-{digits_of(r, 4)}",
+]
+LOOSE = {
+    "email": [lambda r: "{} at {}".format(*address(r)).replace(".", " dot "), lambda r: "{} [at] {}".format(*address(r)).replace(".", " [dot] "), lambda r: "{}(at){}".format(*address(r))],
+    "ip": [lambda r: "[.]".join(str(r.randint(1, 255)) for _ in range(4)), lambda r: " dot ".join(str(r.randint(1, 255)) for _ in range(4))],
+    "card": [lambda r: ".".join(["4" + digits_of(r, 3), *(digits_of(r, 4) for _ in range(3))]), lambda r: "_".join(["5" + digits_of(r, 3), *(digits_of(r, 4) for _ in range(3))])],
+    "phone": [lambda r: f"0{digits_of(r, 2)} {digits_of(r, 7)}", lambda r: f"0{digits_of(r, 2)}/{digits_of(r, 7)}", lambda r: f"({digits_of(r, 3)}) 555-{digits_of(r, 4)}"],
+}
+CLEAN = [
+    lambda r: f"20{r.randint(10, 29)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}",
+    lambda r: f"{r.randint(1, 28):02}.{r.randint(1, 12):02}.20{r.randint(10, 29)}",
+    lambda r: f"{r.randint(1, 9)}.{digits_of(r, 3)}.{digits_of(r, 3)}",
+    lambda r: "1" + digits_of(r, r.choice([7, 9, 11, 15])),
+    lambda r: ", ".join(str(r.randint(1, 200)) for _ in range(4)),
+    lambda r: "look at example.com",
+    lambda r: f"{r.randint(1900, 2000)}-{r.randint(2001, 2030)}",
+]
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Documents with matches of the fixed patterns, with loose items, and with figures only."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
+    around = lambda item: " ".join([*(word() for _ in range(rng.randint(3, 9))), item, *(word() for _ in range(rng.randint(3, 9)))])
+    rows = [(f"fixed{i}", around(rng.choice(FIXED)(rng)), None) for i in range(1200)]
+    for kind, forms in LOOSE.items():
+        for i in range(40):
+            item = rng.choice(forms)(rng)
+            rows.append((f"loose-{kind}-{i}", around(item), item))
+    rows += [(f"clean{i}", around(rng.choice(CLEAN)(rng)), None) for i in range(300)]
+    found = P.find_personal_data(spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string"))
+    return rows, {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["added"]] for r in found.collect()}
+
+
+@pytest.mark.parametrize("kind", P.KINDS)
+def test_items_that_the_fixed_patterns_miss_are_added(planted, kind):
+    rows, added = planted
+    mine = [(i, text.index(item), item) for i, text, item in rows if i.startswith(f"loose-{kind}-")]
+    hits = sum((kind, at, at + len(item)) in added[i] for i, at, item in mine)
+    assert hits >= 0.9 * len(mine), (hits, len(mine))
+
+
+def test_figures_that_are_no_personal_data_are_left(planted):
+    rows, added = planted
+    clean = [(i, text, added[i]) for i, text, _ in rows if i.startswith("clean") and added[i]]
+    assert len(clean) <= 6, clean
+    kinds = [(i.split("-")[1], s[0]) for i, _, item in rows if item for s in added[i]]
+    assert sum(a == b for a, b in kinds) >= 0.95 * len(kinds)
+
+
+def test_scores_are_calibrated_by_pooled_bins():
+    row = lambda bin_, good, total: {"kind": "ip", "bin": bin_, "good": good, "all": total}
+    assert P.lowest_scores([row(10, 0, 50), row(100, 20, 20), row(150, 16, 20), row(190, 100, 100)], 0.9) == {"ip": 190 / P.BINS}
+    assert P.lowest_scores([row(10, 0, 50), row(100, 19, 20), row(150, 20, 20)], 0.9) == {"ip": 100 / P.BINS}
+    assert P.lowest_scores([row(10, 2, 2)], 0.9) == {}
