@@ -10,6 +10,7 @@ from newsflow.functions import urls as U
 from newsflow.functions.dates import iso_seconds
 from newsflow.functions.text import clean
 from newsflow.operators import incremental as I
+from newsflow.operators import key_filters as K
 from newsflow.operators import pages as P
 from newsflow.operators import ranking as R
 from newsflow.operators import stats as S
@@ -74,6 +75,26 @@ def land_by_date(spark, sf_dir):
     return landed.select("ticker", day("date").alias("date"), "url", "content", "pos")
 
 
+def landed_filtered(spark, sf_dir):
+    """New rows of days whose filter may hold one of their URLs are compared, the rest is new."""
+    base = scratch_path(spark, "landing")
+    old, new = _old_new(_recurring(spark, sf_dir))
+    L.land_by_date(old.drop("doc_id", "n_chars"), base, filters=L.filter_path(base)).drop()
+    landed = L.read_landed(spark, base, old.drop("doc_id", "n_chars").schema)
+    rest = K.drop_landed_filtered(new, landed, L.read_key_filters(landed, L.filter_path(base)))
+    return rest.select("ticker", day("date").alias("date"), "url", "doc_id")
+
+
+def land_filtered(spark, sf_dir):
+    """``land_by_date`` with filters of the landed days."""
+    base = scratch_path(spark, "landing")
+    rows = _recurring(spark, sf_dir).drop("doc_id", "n_chars")
+    for batch in (rows.filter("lang <> 'en'"), rows):
+        L.land_by_date(batch, base, filters=L.filter_path(base)).drop()
+    landed = L.read_landed(spark, base, rows.schema)
+    return landed.select("ticker", day("date").alias("date"), "url", "content", "pos")
+
+
 def land_rewrite(spark, sf_dir):
     """The same landing with merged, rewritten days."""
     base = scratch_path(spark, "landing")
@@ -392,7 +413,13 @@ QUERIES = {
         f"""WITH {NEWS}, {RECURRING} SELECT ticker, url, doc_id FROM recurring n WHERE lang = 'en'
         AND NOT EXISTS (SELECT 1 FROM recurring o WHERE o.lang <> 'en' AND o.ticker = n.ticker AND o.url = n.url)""",
     ),
+    "landed_filtered": (
+        landed_filtered,
+        f"""WITH {NEWS}, {RECURRING} SELECT ticker, strftime(date, '%Y-%m-%d') AS date, url, doc_id FROM recurring n WHERE lang = 'en'
+        AND NOT EXISTS (SELECT 1 FROM recurring o WHERE o.lang <> 'en' AND o.ticker = n.ticker AND o.date = n.date AND o.url = n.url)""",
+    ),
     "land_by_date": (land_by_date, _LANDED),
+    "land_filtered": (land_filtered, _LANDED),
     "land_rewrite": (land_rewrite, _LANDED),
     "write_results": (
         write_results,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from newsflow.functions.dates import iso_seconds
 from newsflow.functions.text import strip
 from newsflow.operators.incremental import drop_landed, in_partitions
+from newsflow.operators.key_filters import days_to_read, key_filters, rows_of_days
 from newsflow.operators.ranking import dedup_keep_first, first_per_key
 from newsflow.schemas import LANDING_ORDER, PARTITION_KEYS, RESULT_COLUMNS
 from newsflow.session import Scratch
@@ -92,6 +93,31 @@ def append_new(rows: DataFrame, path: str) -> None:
     rows.withColumn("_whole", whole).join(stored, "_whole", "left_anti").drop("_whole").write.mode("append").parquet(path)
 
 
+FILTER_SCHEMA = "ticker string, date date, pages int, page int, bits binary"
+
+
+def filter_path(base: str) -> str:
+    return f"{base.rstrip('/')}.filters"
+
+
+def add_key_filters(rows: DataFrame, path: str) -> None:
+    """Append filters of the URLs of ``rows``."""
+    typed = rows.select("ticker", F.col("date").cast("date").alias("date"), "url")
+    key_filters(typed).select("ticker", "date", "pages", "page", "bits").write.mode("append").parquet(path)
+
+
+def read_key_filters(landed: DataFrame, path: str) -> DataFrame:
+    """The filters of a landed table; made from the table first where there are none yet."""
+    spark = landed.sparkSession
+    try:
+        return spark.read.schema(FILTER_SCHEMA).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        add_key_filters(landed, path)
+        return spark.read.schema(FILTER_SCHEMA).parquet(path)
+
+
 @dataclass(frozen=True)
 class Landing:
     """What became of a batch: every row is added, quarantined or rejected.
@@ -117,6 +143,7 @@ def land_by_date(
     held: Column | None = None,
     why: Column | None = None,
     quarantine: str | None = None,
+    filters: str | None = None,
 ) -> Landing:
     """Land the new rows of a batch by ticker and day.
 
@@ -129,6 +156,11 @@ def land_by_date(
     table with the reason (``why`` for held ones), once each however often a batch is run;
     by default it lies beside ``base``.
 
+    With ``filters`` (a folder, see ``filter_path``) only days whose filter may hold a URL of
+    the batch are compared. All later landings of the table must name the folder too. A
+    batch's filters are written before its rows: if it fails in between, a filter holds
+    URLs that are not there, which costs a look and loses nothing.
+
     The batch is written once before it is compared, so pages are not parsed twice. The
     comparison handles keys and row numbers only. What it rejects, few rows as a rule, is
     what the batch is filtered by, so the texts move once, to be written.
@@ -141,10 +173,16 @@ def land_by_date(
     keys = good.select(*dict.fromkeys([*PARTITION_KEYS, "url", *ranks, "_row"]))
     first = first_per_key(keys, [*PARTITION_KEYS, "url"], [*map(F.col, ranks), F.col("_row")])
     landed = read_landed(spark, base, rows.schema)
-    known = in_partitions(landed.select(*PARTITION_KEYS, "url"), good.select(*PARTITION_KEYS).distinct())
+    stored = landed.select(*PARTITION_KEYS, "url")
+    if filters:
+        known = rows_of_days(stored, scratch.keep(days_to_read(first, read_key_filters(landed, filters)), "days"))
+    else:
+        known = in_partitions(stored, good.select(*PARTITION_KEYS).distinct())
     chosen = drop_landed(first, known).select("_row")
     rejected = scratch.keep(keys.select("_row").join(chosen, "_row", "left_anti"), "rejected")
     added = good.join(rejected, "_row", "left_anti").drop("_row")
+    if filters:
+        add_key_filters(added, filters)
     if rewrite:
         touched = scratch.keep(added.select(*PARTITION_KEYS).distinct(), "touched")
         merged = scratch.keep(dedup_keep_first(in_partitions(landed, touched), added, pos=order), "merged")
