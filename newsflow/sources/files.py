@@ -45,6 +45,13 @@ def file_row_counts(rows: DataFrame) -> DataFrame:
     )
 
 
+def table_row_counts(rows: DataFrame, name: str) -> DataFrame:
+    """``name, row_count`` of one stored table out of the counts of its files, be it a file
+    or a folder of parts; a table without rows counts 0."""
+    total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return file_row_counts(rows).agg(total).select(F.lit(name).alias("name"), "row_count")
+
+
 def plain_path(path: Column) -> Column:
     """One spelling for listed paths: some sources say "file:/x", some "file:///x"."""
     return F.regexp_replace(path, r"^([a-z0-9+.-]+):/+", "$1:/")
