@@ -32,11 +32,11 @@ FACTS = (
 CARDS = "array<struct<pos:int, href:string, datetime:string>>"
 
 
-def _facts_udf(nested_p: bool, inline_sep: str):
+def _facts_udf(nested_p: bool, inline_sep: str, open_refs: bool):
     @F.pandas_udf(FACTS)
     def facts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([article_facts(h, nested_p, inline_sep) for h in batch])
+            yield pd.DataFrame([article_facts(h, nested_p, inline_sep, open_refs) for h in batch])
 
     return facts
 
@@ -56,9 +56,10 @@ def with_facts(
     out: str = "facts",
     nested_p: bool = False,
     inline_sep: str = "",
+    open_refs: bool = True,
 ) -> DataFrame:
     """Replace the page text by the struct of its facts."""
-    return pages.withColumn(out, _facts_udf(nested_p, inline_sep)(F.col(html))).drop(html)
+    return pages.withColumn(out, _facts_udf(nested_p, inline_sep, open_refs)(F.col(html))).drop(html)
 
 
 def title_of(facts: Column) -> Column:
@@ -92,6 +93,7 @@ def to_articles(
     ok_only: bool = False,
     nested_p: bool = False,
     inline_sep: str = "",
+    open_refs: bool = True,
 ) -> DataFrame:
     """``title, content, date, error`` for every page; other columns are kept.
 
@@ -100,7 +102,7 @@ def to_articles(
     """
     if ok_only:
         pages = pages.filter(F.col("status_code") == 200)
-    read = with_facts(pages, html, "facts", nested_p, inline_sep)
+    read = with_facts(pages, html, "facts", nested_p, inline_sep, open_refs)
     facts = F.col("facts")
     failed = facts["error"].isNotNull()
     return read.select(

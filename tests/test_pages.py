@@ -200,3 +200,11 @@ def test_best_fetch(rows):
     assert not got["2"].used_second and not got["3"].used_second and not got["4"].used_second
     assert got["5"].content == "alone"
     assert (got["6"].title, got["6"].date) == ("n", d1)
+
+
+def test_a_reference_cut_off_counts_only_if_asked():
+    html = "<h1>a &amp; b&amp</h1><article><p>x&quo &ampx; &lt;&#38;&#38</p></article>"
+    loose, closed = article_facts(html), article_facts(html, open_refs=False)
+    assert loose["headings"][0] == "a & b&"
+    assert closed["headings"][0] == "a & b&amp"
+    assert closed["paragraphs"] == ["x&quo &ampx; <&&#38"]
