@@ -49,11 +49,11 @@ def spread_pages(pages: DataFrame, tasks: int | None = None) -> DataFrame:
     return pages.repartition(tasks or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("url"))
 
 
-def parsed_pages(pages: DataFrame, zone: str = LOCAL_ZONE, nested_p: bool = False) -> DataFrame:
+def parsed_pages(pages: DataFrame, zone: str = LOCAL_ZONE, nested_p: bool = False, open_refs: bool = True) -> DataFrame:
     """Articles of a stream of pages. One without a date of its own has the local date on
     which it was fetched. Texts go on, the larger pages do not enter the state."""
     as_of = F.to_date(F.from_utc_timestamp("fetched_at", zone))
-    return to_articles(spread_pages(pages), as_of, zone=zone, nested_p=nested_p).drop("html")
+    return to_articles(spread_pages(pages), as_of, zone=zone, nested_p=nested_p, open_refs=open_refs).drop("html")
 
 
 def links_with_articles(links: DataFrame, articles: DataFrame, wait: str = "1 day", late: str = "1 hour") -> DataFrame:
@@ -96,10 +96,11 @@ def start_page_ingest(
     nested_p: bool = False,
     land_errors: bool = False,
     max_files: int = 1000,
+    open_refs: bool = True,
 ) -> StreamingQuery:
     """Take in the links and pages that came since the last call, land what is complete,
     then stop. What waits is in the state and goes on with the next call."""
-    articles = parsed_pages(page_stream(spark, pages, max_files), zone, nested_p)
+    articles = parsed_pages(page_stream(spark, pages, max_files), zone, nested_p, open_refs)
     joined = links_with_articles(link_stream(spark, links, max_files), articles, wait, late)
     with rocks_state(spark):
         return (
