@@ -9,23 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsflow.llm.bytewords import slices
-from newsflow.session import scratch_path
-
-
-#: Documents in one Arrow batch at most; with texts of a few kilobytes, a few megabytes.
-BATCH_ROWS = 1000
-
-
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """Make sure that the session sends wide rows to Python in small batches.
-
-    The default of 10,000 rows would hold some hundred megabytes of texts per task beside
-    the heap. A smaller setting of the session stays.
-    """
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
-    return df
+from newsflow.session import bounded_batches, scratch_path
 
 
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -6,10 +6,12 @@ whatever the tickers are, so the page text is parsed where it was read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from newsflow.functions.dates import first_local_date
 from newsflow.functions.text import default_content, default_title, strip, unnest
@@ -24,30 +26,49 @@ from newsflow.schemas import (
     SITE_HOST,
     SITE_TOKEN,
 )
+from newsflow.session import bounded_batches
 
 FACTS = (
-    "meta_titles array<string>, headings array<string>, title_tag string, "
-    "paragraphs array<string>, description string, date_texts array<string>, error string"
+    "meta_titles: array<string>, headings: array<string>, title_tag: string, "
+    "paragraphs: array<string>, description: string, date_texts: array<string>, error: string"
 )
 CARDS = "array<struct<pos:int, href:string, datetime:string>>"
 
 
-def _facts_udf(nested_p: bool, inline_sep: str, open_refs: bool):
-    @F.pandas_udf(FACTS)
-    def facts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([article_facts(h, nested_p, inline_sep, open_refs) for h in batch])
+#: Page text that is parsed at a time; what is read of it is handed on before the next.
+SLICE_BYTES = 1 << 20
 
-    return facts
 
+def page_slices(batch: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive parts of a batch of pages, each of one page or of ``limit`` bytes at most."""
+    first, size = 0, 0
+    for i, n in enumerate(pc.binary_length(batch).to_pylist()):
+        if size + (n or 0) > limit and i > first:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
+        size += n or 0
+    yield batch.slice(first)
 
-def _cards_udf(which: str):
-    @F.pandas_udf(CARDS)
-    def cards(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _page_udf(returns: str, read: Callable):
+    """Read pages a slice at a time: a task holds one batch as it came and one slice read."""
+    kind = to_arrow_type(T.DataType.fromDDL(returns))
+
+    @F.arrow_udf(returns)
+    def pages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(lambda h: link_cards(h, which))
+            for part in page_slices(batch):
+                yield pa.array([read(h.as_py()) for h in part], kind)
+
+    return pages
 
-    return cards
+
+def _facts_udf(nested_p: bool, inline_sep: str, open_refs: bool):
+    return _page_udf(f"struct<{FACTS}>", lambda h: article_facts(h, nested_p, inline_sep, open_refs))
+
+
+def _cards_udf(which: str):
+    return _page_udf(CARDS, lambda h: link_cards(h, which))
 
 
 def with_facts(
@@ -59,7 +80,7 @@ def with_facts(
     open_refs: bool = True,
 ) -> DataFrame:
     """Replace the page text by the struct of its facts."""
-    return pages.withColumn(out, _facts_udf(nested_p, inline_sep, open_refs)(F.col(html))).drop(html)
+    return bounded_batches(pages).withColumn(out, _facts_udf(nested_p, inline_sep, open_refs)(F.col(html))).drop(html)
 
 
 def title_of(facts: Column) -> Column:
@@ -123,7 +144,7 @@ def to_links(
 ) -> DataFrame:
     """One row per card: ``pos, href, url, datetime``; ``token`` filters on the URL."""
     kept = [c for c in listings.columns if c != html]
-    read = listings.withColumn("_cards", _cards_udf(which)(F.col(html)))
+    read = bounded_batches(listings).withColumn("_cards", _cards_udf(which)(F.col(html)))
     cards = unnest(read, F.col("_cards"), *kept).select(*kept, "_item.*")
     links = cards.withColumn("url", absolute(F.col("href"), host))
     return links.filter(is_news_link(F.col("url"), token)) if token else links

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from newsflow.operators import pages as P
@@ -208,3 +209,18 @@ def test_a_reference_cut_off_counts_only_if_asked():
     assert loose["headings"][0] == "a & b&"
     assert closed["headings"][0] == "a & b&amp"
     assert closed["paragraphs"] == ["x&quo &ampx; <&&#38"]
+
+
+def test_pages_are_read_in_bounded_slices(spark):
+    pages = pa.array(["x" * n for n in (5, 5, 1, 50, 2, 2)] + [None, ""])
+    parts = list(P.page_slices(pages, 10))
+    assert pa.concat_arrays(parts) == pages
+    assert [len(p) for p in parts] == [2, 1, 1, 4]
+    assert [len(p) for p in P.page_slices(pages.slice(0, 0), 10)] == [0]
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set(key, "10000")
+        extract(spark, ["<h1>x</h1>"])
+        assert int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.set(key, before)
