@@ -15,6 +15,10 @@ from newsflow.schemas import KEYWORD_SEPARATOR, KEYWORDS_TOP_K
 from newsflow.session import materialise
 
 
+#: More rows than this are never broadcast as the common part of a vocabulary.
+COMMON_TERMS = 200_000
+
+
 def frequent_terms(
     text: Column,
     top_k: int = KEYWORDS_TOP_K,
@@ -52,11 +56,18 @@ def with_document_frequency(terms: DataFrame) -> DataFrame:
     twice, so it should come from a written table.
 
     Only terms of two articles or more are looked up; the long tail of terms that occur
-    once needs no row in the vocabulary. Spark broadcasts the vocabulary if its written
-    size allows, else it joins on the term and splits hot terms at run time.
+    once needs no row in the vocabulary. Terms with more than one in ``COMMON_TERMS`` of all
+    occurrences, which are fewer than that, are broadcast, so most rows find theirs without
+    a shuffle. For the others Spark broadcasts the vocabulary if its written size allows,
+    else it joins on the term.
     """
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).filter("doc_freq > 1")
-    joined = terms.join(materialise(counts, "vocabulary"), "term", "left")
+    vocabulary = materialise(counts, "vocabulary")
+    occurrences = vocabulary.agg(F.sum("doc_freq")).first()[0] or 0
+    is_common = F.col("doc_freq") > occurrences / COMMON_TERMS
+    looked_up = terms.join(F.broadcast(vocabulary.filter(is_common)), "term", "left")
+    rest = looked_up.filter("doc_freq is null").drop("doc_freq").join(vocabulary.filter(~is_common), "term", "left")
+    joined = looked_up.filter("doc_freq is not null").unionByName(rest)
     return joined.withColumn("doc_freq", F.coalesce("doc_freq", F.lit(1)))
 
 

@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from bindings import curation
+from newsflow.operators import keywords
 from newsflow.session import scratch_path
 from tests.oracle import TABLES, compare, connect
 
@@ -54,3 +55,8 @@ def test_a_large_day_of_the_old_layout_is_in_parts(spark, monkeypatch):
     monkeypatch.setattr(curation, "scratch_path", lambda s, name: bases.append(scratch_path(s, name)) or bases[-1])
     assert compare(spark, connect(SMALL), curation.legacy_heads, entry.oracle_sql()["legacy_heads"], SMALL).startswith("ok")
     assert len(glob.glob(f"{bases[0].removeprefix('file:')}/en/2024-01-01/news.csv/part-*")) > 1
+
+
+def test_keywords_with_a_few_common_terms(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "COMMON_TERMS", 200)
+    assert compare(spark, connect(SMALL), entry.queries()["keywords_tfidf"], entry.oracle_sql()["keywords_tfidf"], SMALL).startswith("ok")
