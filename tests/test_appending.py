@@ -5,13 +5,15 @@ import glob
 import os
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from newsflow.plans.analyze import Backends, analyze_news
 from newsflow.schemas import RAW_NEWS
 from newsflow.sources.landing import read_landed, write_partitions
-from newsflow.streaming.appending import _PROVIDER, FirstOfKey, appended_results, start_appending_analysis
+from newsflow.streaming import appending
+from newsflow.streaming.appending import _PROVIDER, FirstOfKey, appended_results, best_rows, start_appending_analysis
 
 BACKENDS = Backends(sentiment_weights={"good": 1})
 #: run, ticker, day, position, text: texts repeat within a day, over runs and over days.
@@ -112,3 +114,29 @@ def test_the_first_row_of_a_key_in_order_whatever_the_batches(size):
     out = list(one.handleInputRows(("k",), iter(parts), None))
     assert [o["url"].tolist() for o in out] == [["c"]]
     assert list(one.handleInputRows(("k",), iter(parts), None)) == []
+
+
+def test_no_key_costs_a_call_to_python_and_a_day_few_files(spark, tmp_path):
+    base, results, checkpoint = (str(tmp_path / n) for n in ("raw", "results", "checkpoint"))
+    rows = [(f"u{i}", "t", f"text {i % 300}.", 200, "2024-01-01T00:00:00", "run-1", None, 1000 - i, "A", dt.date(2024, 1, 1)) for i in range(600)]
+    write_partitions(spark.createDataFrame(rows, RAW_NEWS), base, "append")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        query = start_appending_analysis(spark, base, results, checkpoint, BACKENDS)
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [s["operatorName"] for s in query.lastProgress["stateOperators"]] == ["dedupe"]
+    assert {r["url"] for r in appended_results(spark, results).collect()} == {f"u{i}" for i in range(300, 600)}
+    assert len(glob.glob(f"{results}/ticker=*/date=*/*.parquet")) <= 8
+
+
+@pytest.mark.parametrize("size", [1, 2, 100])
+@pytest.mark.parametrize("least", [1, 3, 10_000])
+def test_best_rows_whatever_the_batches(monkeypatch, size, least):
+    monkeypatch.setattr(appending, "_ROUND", least)
+    table = pa.table({"k": ["x", "y", None, "x", "x", "y", None], "run": ["2", "2", "1", "1", "1", None, "1"], "pos": [3, 1, 5, 2, None, 9, 4], "url": list("gfedcba")})
+    out = pa.Table.from_batches(best_rows(iter(table.to_batches(max_chunksize=size)), ["k"], ["run", "pos", "url"]))
+    assert {r["k"]: r["url"] for r in out.to_pylist()} == {"x": "c", "y": "b", None: "a"} and out.num_rows == 3
+    assert list(best_rows(iter([]), ["k"], ["pos"])) == []
