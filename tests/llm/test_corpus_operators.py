@@ -213,6 +213,34 @@ def test_kneser_ney_equals_a_plain_model(spark):
         assert got[i]["n_tokens"] == n and math.isclose(got[i]["log10_prob"], total, rel_tol=1e-6), t
 
 
+def test_kneser_ney_in_many_blocks_and_shards(spark, monkeypatch):
+    """The same model when words, bigrams and trigrams are dealt over 128 shards."""
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("the", "Cat", "été", "9") for b in ("", "s", "!", "-x", "7")]
+    texts = [" ".join(rng.choices(words, weights=range(20, 0, -1), k=rng.randint(0, 40))) + (f" Rare{i}x" if i % 5 == 0 else "") for i in range(60)]
+    monkeypatch.setattr(Q, "BLOCK_TEXT", 400)
+    # Of an id that comes twice, the shorter text counts.
+    sample = spark.createDataFrame([*enumerate(texts), (3, texts[3] + " the the the the")], "id long, text string")
+    model = Q.train(sample, size=1 << 30)
+    assert model.bits == 7 and model.tables.select("part").distinct().count() > 50
+    tests = [*texts[:20], None, "", "NEW!! cat", "the the the the", texts[0]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "block long, text string")
+    got = {r["block"]: r for r in Q.with_scores(docs, model).collect()}
+    score = kneser_ney(texts, {w for w, n in Counter(w for t in texts for w in BLANKS.findall(t)).items() if n > 1})
+    assert len(got) == len(tests)
+    for i, t in enumerate(tests):
+        n, total = score(t)
+        assert got[i]["n_tokens"] == n and math.isclose(got[i]["log10_prob"], total, rel_tol=1e-9), t
+
+
+def test_all_trusted_documents_are_learnt_from(spark):
+    """More documents than a sample of 8,000 had, each with words that no other one has."""
+    docs = spark.range(13_000).selectExpr("id AS doc_id", "concat('a', id, ' b', id, ' a', id, ' b', id) AS text", "'en' AS lang")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    learnt = Q.classify(docs, labels).filter("pmod(xxhash64(doc_id), 4) != 0").agg(F.count("*").alias("n"), F.min("perplexity").alias("low"), F.max("perplexity").alias("high")).first()
+    assert learnt["n"] > 9_000 and learnt["high"] < 1.01 * learnt["low"]
+
+
 def test_quality_on_labelled_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     kept = Q.classify(docs, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("k")).collect()
