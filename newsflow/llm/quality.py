@@ -33,8 +33,10 @@ columns are passed on or not looked at.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from newsflow.llm.blocks import Layout, below, by_shard, pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from newsflow.llm.bytewords import _BYTES, Words, mix, slices, span_hash
 from newsflow.llm.tasks import written
+from newsflow.operators.key_filters import BITS, _is_set
 from newsflow.session import Scratch, bounded_batches, delete_path, scratch_path
 
 #: One document brings this part of the bytes at most, unless there is room for more.
@@ -66,6 +69,10 @@ _KEY_SHIFT = np.uint64(64 - KEY_BITS)
 _STEP = 1 << 17
 #: Bytes of text in a block.
 BLOCK_TEXT = 10 << 20
+#: Turns in which all blocks are scored: what one sends is deleted before the next begins.
+TURNS = 5
+#: Bits per id of the filter that keeps most other texts from being sent to the blocks.
+FILTER_BITS = 16
 
 #: Classes of bytes in a shape; letters of other scripts count as lower case.
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -73,11 +80,13 @@ _SHAPE[65:91], _SHAPE[97:123], _SHAPE[48:58], _SHAPE[128:] = 65, 97, 48, 97
 
 
 class Tokens:
-    """Keys of words and of their shapes for all documents of a slice, ends included."""
+    """Keys of words and, if wanted, of their shapes for all documents of a slice, ends included."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, shapes: bool = True):
         words = Words(column)
         self.words = words.hashes()
+        if not shapes:
+            return
         shape = _SHAPE[words.bytes]
         new = np.ones(len(shape), dtype=bool)
         new[1:] = shape[1:] != shape[:-1]
@@ -113,19 +122,30 @@ def added(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[
     return found, [np.add.reduceat(v[order], begin) if len(begin) else v[:0] for v in values]
 
 
+def _tokens(texts: pa.Array, shapes: bool = True) -> list[Tokens]:
+    rows = pa.RecordBatch.from_arrays([texts.cast(pa.large_string())], ["text"])
+    return [Tokens(part.column("text"), shapes) for part in slices(rows, "text")]
+
+
+def _distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the distinct words of a block, ascending, and how often each comes."""
+    words = np.sort(np.concatenate([*(t.words for t in _tokens(texts, shapes=False)), np.zeros(0, dtype=np.uint64)]) >> _KEY_SHIFT)
+    found, begin = grouped(words)
+    return found, np.diff(np.append(begin, len(words)))
+
+
 class _Block:
     """Tokens of the texts of a block, first as words, and by their ids when these are known."""
 
     def __init__(self, texts: pa.Array):
-        rows = pa.RecordBatch.from_arrays([texts.cast(pa.large_string())], ["text"])
-        parts = [Tokens(part.column("text")) for part in slices(rows, "text")]
+        parts = _tokens(texts)
         stack = lambda name: np.concatenate([getattr(t, name) for t in parts]) if parts else np.zeros(0, dtype=np.uint64)
         words, self.counts = stack("words") >> _KEY_SHIFT, stack("counts").astype(np.int64)
         self.shapes = np.minimum(_SHAPES | (stack("shapes") >> np.uint64(33)), _START - np.uint64(1)).astype(np.uint32)
         self.firsts = np.cumsum(self.counts) - self.counts
         of_doc = self.counts - 1
         self.at = np.arange(len(words)) + np.repeat(np.arange(len(of_doc)), of_doc)
-        self.words, place, self.often = np.unique(words, return_inverse=True, return_counts=True)
+        self.words, place = np.unique(words, return_inverse=True)
         self.place = place.astype(np.int32)
 
     def grams(self, known: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,10 +157,10 @@ class _Block:
         v = self.before(w)
         return self.before(v), v, w
 
-    def before(self, keys: np.ndarray) -> np.ndarray:
+    def before(self, keys: np.ndarray, start=_START) -> np.ndarray:
         out = np.empty_like(keys)
         out[1:] = keys[:-1]
-        out[self.firsts] = _START
+        out[self.firsts] = start
         return out
 
 
@@ -171,6 +191,15 @@ def _counts(counts: np.ndarray) -> bytes:
     return _tight(pack_counts(counts))
 
 
+def _ids_by_byte(ids: np.ndarray) -> bytes:
+    """Ids of 32 bits, the lowest bytes of all first, as the higher ones vary less."""
+    return _tight(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _ids_of_bytes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_loose(data), dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.uint64)
+
+
 _MESSAGE = "kind int, part int, block int, keys binary, marks binary, values array<binary>, stats array<long>"
 _ARROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("marks", pa.binary()), ("values", pa.list_(pa.binary())), ("stats", pa.list_(pa.int64()))])
 #: Kinds of messages: tables of words, bigrams and trigrams, what is told to those who add
@@ -288,10 +317,23 @@ def most_of_one(lengths: np.ndarray, max_bytes: int) -> int:
     return max(share, int(lengths.max(initial=0)))
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``id, text`` of all trusted documents outside the held quarter of the ids."""
+def trusted_ids(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``id`` of all trusted documents outside the held quarter of the ids."""
     good = labels.filter((F.col(label_col) == 1) & (F.pmod(F.xxhash64(id_col), F.lit(4)) != 0)).select(F.col(id_col).alias("id")).distinct()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good, "id", "left_semi")
+    return docs.select(F.col(id_col).alias("id")).join(good, "id", "left_semi").distinct()
+
+
+def likely(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of the ``n`` ids, and few others (about one in seventy).
+
+    A bitmap in pages is broadcast, two bytes an id, so that no text is shuffled for a join.
+    """
+    pages = -(-n * FILTER_BITS // BITS) or 1
+    page = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(pages)).alias("_page")
+    set_bits = [F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITS)) for i in (2, 3)]
+    bits = ids.select(page, F.explode(F.array(*set_bits)).alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    first, second = (_is_set(F.col("_bits"), bit) for bit in set_bits)
+    return rows.withColumn("_page", page).join(F.broadcast(bits), "_page").filter(first & second).select(*rows.columns)
 
 
 def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_docs: int, max_bytes: int) -> DataFrame:
@@ -341,30 +383,31 @@ class Model:
     #: What the discounts take off them.
     left: float
 
-    def log10(self, counts: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of tokens from the counts of each.
-
-        ``c3``; of the context ``uv`` sum, ones, twos, types; ``c2``; the same of ``v``; ``c1``.
-        """
-        c3, *uv, c2, s2, a2, b2, n2, c1 = counts
-        d3, d2, d1 = self.discounts
+    def word(self, c1: np.ndarray) -> np.ndarray:
+        """Probability of words from their continuation counts."""
+        d1 = self.discounts[2]
+        return (c1 - d1[np.minimum(c1, 3)]) / self.total + self.unseen
 
-        def share(c, sums, ones, twos, types, d, lower):
-            left = d[1] * ones + d[2] * twos + d[3] * (types - ones - twos)
-            some = np.maximum(sums, 1)
-            return np.where(sums > 0, (c - d[np.minimum(c, 3)] + left * lower) / some, lower)
+    def context(self, order: int, sums: np.ndarray, ones: np.ndarray, twos: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of contexts of trigrams (order 0) or bigrams (1): sum of counts, what discounts take off."""
+        d = self.discounts[order]
+        return sums, d[1] * ones + d[2] * twos + d[3] * (types - ones - twos)
 
-        p = (c1 - d1[np.minimum(c1, 3)]) / self.total + self.unseen
-        p = share(c2, s2, a2, b2, n2, d2, p)
-        return np.log10(share(c3, *uv, d3, p))
+    def share(self, order: int, c: np.ndarray, sums: np.ndarray, left: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probability from counts, those of the contexts, and the lower order."""
+        return np.where(sums > 0, (c - self.discounts[order][np.minimum(c, 3)] + left * lower) / np.maximum(sums, 1), lower)
 
     @property
     def unseen(self) -> float:
         return self.left / self.total / (self.distinct + 1)
 
 
+def _n_blocks(size: int) -> int:
+    return -(-size // BLOCK_TEXT) or 1
+
+
 def _blocks(rows: DataFrame, of: list[str], size: int) -> DataFrame:
-    return rows.withColumn("block", F.pmod(F.xxhash64(*of), F.lit(-(-Layout(size).size // BLOCK_TEXT) or 1)).cast("int"))
+    return rows.withColumn("block", F.pmod(F.xxhash64(*of), F.lit(_n_blocks(size))).cast("int"))
 
 
 def _size(rows: DataFrame, text_col: str) -> int:
@@ -372,7 +415,11 @@ def _size(rows: DataFrame, text_col: str) -> int:
 
 
 def _one_each(table: pa.Table) -> pa.Array:
-    """The texts of a block, of each id the shortest."""
+    """The texts of a block, of each id the shortest; only ids that are listed, if there is a list."""
+    if "listed" in table.column_names:
+        listed = table.column("listed")
+        texts = table.filter(pc.invert(listed))
+        table = texts.filter(pc.is_in(texts.column("id"), table.filter(listed).column("id").combine_chunks(), skip_nulls=True))
     rows = table.select(["id", "text"]).append_column("n", pc.fill_null(pc.binary_length(table.column("text")), 0).cast(pa.int64()))
     rows = rows.sort_by([("id", "ascending"), ("n", "ascending"), ("text", "ascending")])
     first = pa.table({"id": rows.column("id"), "row": np.arange(rows.num_rows)}).group_by("id", use_threads=False).aggregate([("row", "min")]).column("row_min")
@@ -384,8 +431,24 @@ def _whole(column: pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _words_of(block: _Block, number: int, bits: int, counted: bool) -> list[dict]:
-    return _dealt(_WORD, number, block.words, [block.often] if counted else [], bits, KEY_BITS)
+def _words_of(texts: pa.Array, number: int, bits: int, counted: bool) -> list[dict]:
+    words, often = _distinct_words(texts)
+    return _dealt(_WORD, number, words, [often] if counted else [], bits, KEY_BITS)
+
+
+@contextmanager
+def shuffles_dropped(spark) -> Iterator[None]:
+    """Lets Spark delete what a job shuffled when it ends, not when the driver collects its garbage.
+
+    For jobs that end with ``written``, whose shuffles nothing reads again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _cogrouped(left: DataFrame, right: DataFrame, by: list[str], function, schema: str) -> DataFrame:
@@ -400,19 +463,24 @@ def _table_and_told(messages: DataFrame, purpose: str, kind: int) -> tuple[DataF
     return table, told, lambda: delete_path(spark, f"{path}/told=true")
 
 
-def train(sample: DataFrame, size: int = 0) -> Model | None:
+def train(sample: DataFrame, size: int = 0, ids: DataFrame | None = None) -> Model | None:
     """The model of ``id, text``, one text of each id; None without any document.
 
-    ``size`` is the bytes of the texts to be scored, if they are more than these.
+    ``size`` is the bytes of the texts to be scored, if they are more than these. With
+    ``ids`` (none missing, each once, of the type of the sample's), only rows of these count.
     """
     narrow = bounded_batches(sample).select("id", F.col("text").cast("string").alias("text"))
-    if narrow.isEmpty():
+    if (narrow if ids is None else ids).isEmpty():
         return None
+    if ids is not None:
+        narrow = likely(narrow, ids, ids.count())
     own = _size(narrow, "text")
+    if ids is not None:
+        narrow = narrow.withColumn("listed", F.lit(False)).union(ids.select("id", F.lit(None).cast("string"), F.lit(True)))
     bits, texts = Layout(max(size, own)).shard_bits, _blocks(narrow, ["id"], own)
 
     def count_words(table: pa.Table) -> pa.Table:
-        return _messages(_words_of(_Block(_one_each(table)), table.column("block")[0].as_py(), bits, True))
+        return _messages(_words_of(_one_each(table), table.column("block")[0].as_py(), bits, True))
 
     def common(table: pa.Table) -> pa.Table:
         keys, (counts,) = added(*_read(table, bits, KEY_BITS))
@@ -420,7 +488,7 @@ def train(sample: DataFrame, size: int = 0) -> Model | None:
         return _messages([{"kind": _WORD, "part": table.column("part")[0].as_py(), "keys": pack_sorted(below(keep, KEY_BITS, bits), KEY_BITS - bits), "values": []}])
 
     def ask_words(table: pa.Table) -> pa.Table:
-        return _messages(_words_of(_Block(_one_each(table)), table.column("block")[0].as_py(), bits, False))
+        return _messages(_words_of(_one_each(table), table.column("block")[0].as_py(), bits, False))
 
     def count_grams(table: pa.Table, answers: pa.Table) -> pa.Table:
         if table.num_rows == 0:
@@ -433,17 +501,21 @@ def train(sample: DataFrame, size: int = 0) -> Model | None:
         new[1:] = (uv[1:] != uv[:-1]) | (w[1:] != w[:-1])
         begin = np.flatnonzero(new)
         counts = np.diff(np.append(begin, len(uv)))
-        uv, w, out = uv[begin], w[begin].astype(np.uint32), []
+        uv, w, out = uv[begin], w[begin], []
         for part, span in enumerate(by_shard(uv, 64, bits)):
             if span.stop > span.start:
-                out.append({"kind": _TRIPLE, "part": part, "keys": pack_sorted(below(uv[span], 64, bits), 64 - bits), "marks": _tight(w[span].tobytes()), "values": [_counts(counts[span])]})
+                # A bigram once, with the number of what follows it.
+                context, begin = grouped(uv[span])
+                follow = np.diff(np.append(begin, span.stop - span.start))
+                out.append({"kind": _TRIPLE, "part": part, "keys": pack_sorted(below(context, 64, bits), 64 - bits), "marks": _ids_by_byte(w[span]), "values": [_counts(follow), _counts(counts[span])]})
         return _messages(out)
 
     def add_triples(table: pa.Table) -> pa.Table:
         """Trigrams of a shard, what follows its bigrams, and one more left neighbour for each end."""
         part = table.column("part")[0].as_py()
-        uv, (c,) = _read(table, bits, 64)
-        w = np.concatenate([np.frombuffer(_loose(m), dtype=np.uint32) for m in table.column("marks").to_pylist()]).astype(np.uint64)
+        context, (follow, c) = _read(table, bits, 64)
+        uv = np.repeat(context, follow)
+        w = np.concatenate([_ids_of_bytes(m) for m in table.column("marks").to_pylist()])
         order = np.lexsort((w, uv))
         uv, w, c = uv[order], w[order], c[order]
         new = np.ones(len(uv), dtype=bool)
@@ -453,7 +525,7 @@ def train(sample: DataFrame, size: int = 0) -> Model | None:
         keys, (counts,) = added(triple(uv, w, bits), [c])
         out = [{"kind": _TRIPLE, "part": part, "keys": pack_sorted(below(keys, KEY_BITS, bits), KEY_BITS - bits), "values": [_counts(counts)], "stats": _of_counts(c)}]
         context, begin = grouped(uv)
-        out += _dealt(_PAIR, -1, context, _types(begin, c), bits, 64)
+        out += _dealt(_PAIR, -1, context >> _KEY_SHIFT, _types(begin, c), bits, KEY_BITS)
         ends, (left,) = added(pair(apart(uv) & _LOW, w), [np.ones(len(w), dtype=np.int64)])
         return _messages(out + _dealt(_ENDS, -1, ends, [left], bits, 64))
 
@@ -463,10 +535,10 @@ def train(sample: DataFrame, size: int = 0) -> Model | None:
         of = lambda kind: table.filter(pc.equal(table.column("kind"), kind))
         ends, left = _read(of(_ENDS), bits, 64)
         ends, (left,) = added(ends, left or [np.zeros(0, dtype=np.int64)])
-        context, follow = _read(of(_PAIR), bits, 64)
+        context, follow = _read(of(_PAIR), bits, KEY_BITS)
         follow = follow or [np.zeros(0, dtype=np.int64)] * 4
         none = lambda n: np.zeros(n, dtype=np.int64)
-        keys, values = added(np.concatenate([ends, context]) >> _KEY_SHIFT, [np.concatenate([left, none(len(context))]), *(np.concatenate([none(len(ends)), f]) for f in follow)])
+        keys, values = added(np.concatenate([ends >> _KEY_SHIFT, context]), [np.concatenate([left, none(len(context))]), *(np.concatenate([none(len(ends)), f]) for f in follow)])
         out = [{"kind": _PAIR, "part": part, "keys": pack_sorted(below(keys, KEY_BITS, bits), KEY_BITS - bits), "values": [_counts(v) for v in values], "stats": _of_counts(left)}]
         both = apart(ends)
         v, w, one = both >> np.uint64(32), both & _LOW, np.ones(len(both), dtype=np.int64)
@@ -495,11 +567,12 @@ def train(sample: DataFrame, size: int = 0) -> Model | None:
     return Model(bits, words, tables[0].unionByName(tables[1]).unionByName(tables[2]), discounts, total, distinct, left)
 
 
-def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", columns: list[str] | None = None, size: int | None = None) -> DataFrame:
+def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", columns: list[str] | None = None, size: int | None = None, turn: tuple[int, int] = (0, 1)) -> DataFrame:
     """``columns`` (default: all), then ``n_tokens`` and ``log10_prob`` of the text (0 without a model).
 
     Blocks of rows ask the shards of the model for the ids of their distinct words, then
-    for the counts of their distinct words, bigrams and trigrams.
+    for the counts of their distinct words, bigrams and trigrams. Of several turns, each
+    (its number, and how many there are) has the rows of blocks of its own.
     """
     names, columns = docs.columns, docs.columns if columns is None else columns
     text = f"c{names.index(text_col)}"
@@ -507,6 +580,8 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", co
     rows = bounded_batches(docs).toDF(*[f"c{i}" for i in range(len(names))])
     schema = T.StructType([*[T.StructField(k, rows.schema[k].dataType) for k in kept], *T.StructType.fromDDL("n_tokens long, log10_prob double").fields])
     rows = _blocks(rows, rows.columns, _size(rows, text) if size is None else size)
+    if turn[1] > 1:
+        rows = rows.filter(F.pmod("block", F.lit(turn[1])) == turn[0])
     output = [*kept, "n_tokens", "log10_prob"]
 
     def scored_rows(table: pa.Table, block: _Block, logs: np.ndarray) -> pa.Table:
@@ -524,20 +599,17 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", co
     bits, least = model.bits, Model(model.bits, None, None, model.discounts, model.total, model.distinct, model.left)
 
     def ask_words(table: pa.Table) -> pa.Table:
-        return _messages(_words_of(_Block(_whole(table.column(text))), table.column("block")[0].as_py(), bits, False))
+        return _messages(_words_of(_whole(table.column(text)), table.column("block")[0].as_py(), bits, False))
 
     def wanted(u, v, w):
-        uv = pair(u, v)
-        words = np.union1d(np.unique(v), np.unique(w))
-        pairs = np.union1d(np.unique(uv >> _KEY_SHIFT), np.unique(pair(v, w) >> _KEY_SHIFT))
-        each = triple(uv, w, bits)
-        return uv, each, words, pairs, np.unique(each)
+        """Keys of the words, bigrams and trigrams of all tokens, those of the marks at a start behind."""
+        return np.append(w, _START), np.append(pair(v, w), pair(_START[None], _START[None])) >> _KEY_SHIFT, triple(pair(u, v), w, bits)
 
     def ask_grams(table: pa.Table, answers: pa.Table) -> pa.Table:
         if table.num_rows == 0:
             return _messages([])
         number = table.column("block")[0].as_py()
-        _, _, words, pairs, triples = wanted(*_Block(_whole(table.column(text))).grams(*_ids(answers, bits)))
+        words, pairs, triples = (grouped(np.sort(keys))[0] for keys in wanted(*_Block(_whole(table.column(text))).grams(*_ids(answers, bits))))
         out = _dealt(_WORD, number, words, [], bits, 32) + _dealt(_PAIR, number, pairs, [], bits, KEY_BITS) + _dealt(_TRIPLE, number, triples, [], bits, KEY_BITS)
         own = [{**r, "kind": _SELF, "values": [np.int64(r["part"]).tobytes()], "part": number} for r in answers.to_pylist()]
         return _messages(out + own)
@@ -547,16 +619,19 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", co
             return table.select(kept).append_column("n_tokens", pa.array([], pa.int64())).append_column("log10_prob", pa.array([], pa.float64()))
         block = _Block(_whole(table.column(text)))
         own = answers.filter(pc.equal(answers.column("kind"), _SELF)).to_pylist()
-        u, v, w = block.grams(*_ids(_messages([{**r, "part": int(np.frombuffer(r["values"][0], dtype=np.int64)[0]), "values": None} for r in own]), bits))
-        uv, each, words, pairs, triples = wanted(u, v, w)
+        grams = block.grams(*_ids(_messages([{**r, "part": int(np.frombuffer(r["values"][0], dtype=np.int64)[0]), "values": None} for r in own]), bits))
+        (words, last_word), (pairs, last_pair), (triples, each) = (np.unique(keys, return_inverse=True) for keys in wanted(*grams))
         c1, *of_v = _answered(answers, _WORD, len(words), 5)
         c2, *of_uv = _answered(answers, _PAIR, len(pairs), 5)
         (c3,) = _answered(answers, _TRIPLE, len(triples), 1)
-        logs, at = np.empty(len(w)), np.searchsorted
-        for begin in range(0, len(w), _STEP):
-            i = slice(begin, begin + _STEP)
-            first, last, context = at(words, v[i]), at(pairs, pair(v[i], w[i]) >> _KEY_SHIFT), at(pairs, uv[i] >> _KEY_SHIFT)
-            logs[i] = least.log10([c3[at(triples, each[i])], *(x[context] for x in of_uv), c2[last], *(x[first] for x in of_v), c1[at(words, w[i])]])
+        # The context of a token ends with the token before it, or is that of a start.
+        first_word, first_pair = (block.before(place[:-1], place[-1]) for place in (last_word, last_pair))
+        of_v, of_uv, p1 = least.context(1, *of_v), least.context(0, *of_uv), least.word(c1)
+        logs = np.empty(len(each))
+        for begin in range(0, len(logs), _STEP):
+            i = slice(begin, min(begin + _STEP, len(logs)))
+            p2 = least.share(1, c2[last_pair[i]], *(x[first_word[i]] for x in of_v), p1[last_word[i]])
+            logs[i] = np.log10(least.share(0, c3[each[i]], *(x[first_pair[i]] for x in of_uv), p2))
         return scored_rows(table, block, logs)
 
     ids = _cogrouped(rows.groupBy("block").applyInArrow(ask_words, _MESSAGE), model.words, ["part"], lambda asked, table: _answer_words(asked, table, bits), _MESSAGE)
@@ -604,18 +679,19 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     ``max_docs`` or ``max_bytes`` is given, from the ``trusted_sample`` within these bounds.
     """
     columns = columns or [id_col, lang_col]
-    if max_docs is None and max_bytes is None:
-        sample = trusted_texts(docs, labels, id_col, text_col, label_col)
-    else:
-        sample = trusted_sample(docs, labels, id_col, text_col, label_col, max_docs or 1 << 30, max_bytes or 1 << 60)
-    texts = Scratch(docs.sparkSession)
-    sample = texts.keep(sample, "trusted")
-    learnt = written(sample.select("id").distinct(), "learnt")
-    narrow = docs.select(*dict.fromkeys([*columns, text_col]))
-    size = _size(docs, text_col)
-    model = train(sample, size)
-    texts.drop()
-    scored = written(with_scores(narrow, model, text_col, columns, size), "scored")
+    spark, size, texts = docs.sparkSession, _size(docs, text_col), Scratch(docs.sparkSession)
+    with shuffles_dropped(spark):
+        if max_docs is None and max_bytes is None:
+            learnt = written(trusted_ids(docs, labels, id_col, label_col), "learnt")
+            model = train(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), size, learnt)
+        else:
+            sample = texts.keep(trusted_sample(docs, labels, id_col, text_col, label_col, max_docs or 1 << 30, max_bytes or 1 << 60), "trusted")
+            learnt = written(sample.select("id").distinct(), "learnt")
+            model = train(sample, size)
+            texts.drop()
+        narrow = docs.select(*dict.fromkeys([*columns, text_col]))
+        turns = min(TURNS, _n_blocks(size))
+        scored = reduce(DataFrame.union, [written(with_scores(narrow, model, text_col, columns, size, (i, turns)), "scored") for i in range(turns)])
     trusted = scored.select(F.col(id_col).alias("id")).join(labels.filter(F.col(label_col) == 1).select(F.col(id_col).alias("id")), "id", "left_semi")
     if model is None and not trusted.isEmpty():
         warnings.warn("no trusted document outside the held quarter of the ids: no model, every document is kept", stacklevel=2)

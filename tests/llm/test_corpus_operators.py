@@ -241,6 +241,47 @@ def test_all_trusted_documents_are_learnt_from(spark):
     assert learnt["n"] > 9_000 and learnt["high"] < 1.01 * learnt["low"]
 
 
+def test_only_texts_of_trusted_ids_travel_and_count(spark):
+    """The filter keeps the listed ids and few others, which the blocks then leave out."""
+    rng = random.Random(7)
+    prose = lambda: " ".join(rng.choices(["the", "cat", "Sat", "on", "mat7", "été", "!"], weights=[9, 7, 5, 4, 3, 2, 1], k=8))
+    rows = [(i, prose()) for i in range(4000)] + [(None, "not listed"), (3, "the"), (6, None)]
+    sample = spark.createDataFrame(rows, "id long, text string")
+    ids = spark.range(0, 4000, 3)
+    kept = [r["id"] for r in Q.likely(sample, ids, ids.count()).collect()]
+    assert {*range(0, 4000, 3)} <= {*kept} and len(kept) < 1336 + 200
+    test = spark.createDataFrame([(1, "the cat Sat on mat7 été ! not listed")], "doc_id long, text string")
+    got = [Q.with_scores(test, m).first()["log10_prob"] for m in (Q.train(sample, 0, ids), Q.train(sample.filter("id % 3 = 0")))]
+    assert got[0] == got[1]
+    assert Q.train(sample, 0, ids.limit(0)) is None
+
+
+def test_scoring_leaves_no_shuffled_texts_behind(spark, monkeypatch):
+    """Texts go to blocks in turns; what a turn shuffled is deleted when it ends."""
+    import time
+    from pathlib import Path
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    on_disk = lambda: sum(f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data") if f.exists())
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 40), x -> sha2(concat(id, '-', x), 256))) AS text", "'en' AS lang")
+    labels = docs.filter("doc_id % 2 = 0").select("doc_id", F.lit(1).alias("quality"))
+    size = 3000 * 40 * 65
+    monkeypatch.setattr(Q, "BLOCK_TEXT", size // 7)
+    before = on_disk()
+    found = Q.classify(docs, labels)
+    for _ in range(20):
+        if on_disk() - before < size // 8:
+            break
+        time.sleep(0.5)
+    assert on_disk() - before < size // 8
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert len(rows) == found.count() == 3000
+    # One block in one turn gives the same.
+    monkeypatch.setattr(Q, "BLOCK_TEXT", 2 * size)
+    assert all(abs(r["log10_prob"] - rows[r["doc_id"]]["log10_prob"]) < 1e-9 for r in Q.classify(docs, labels).collect())
+
+
 def test_quality_on_labelled_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     kept = Q.classify(docs, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("k")).collect()
