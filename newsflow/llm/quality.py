@@ -115,6 +115,12 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[new], np.flatnonzero(new)
 
 
+def placed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of the keys, ascending, and the place of each key among them."""
+    found, place = np.unique(keys, return_inverse=True)
+    return found, place.astype(np.int32)
+
+
 def added(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct keys, ascending, with the sums of their values."""
     order = np.argsort(keys, kind="stable")
@@ -619,8 +625,9 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", co
             return table.select(kept).append_column("n_tokens", pa.array([], pa.int64())).append_column("log10_prob", pa.array([], pa.float64()))
         block = _Block(_whole(table.column(text)))
         own = answers.filter(pc.equal(answers.column("kind"), _SELF)).to_pylist()
-        grams = block.grams(*_ids(_messages([{**r, "part": int(np.frombuffer(r["values"][0], dtype=np.int64)[0]), "values": None} for r in own]), bits))
-        (words, last_word), (pairs, last_pair), (triples, each) = (np.unique(keys, return_inverse=True) for keys in wanted(*grams))
+        ids = _ids(_messages([{**r, "part": int(np.frombuffer(r["values"][0], dtype=np.int64)[0]), "values": None} for r in own]), bits)
+        keys = list(wanted(*block.grams(*ids)))
+        (words, last_word), (pairs, last_pair), (triples, each) = (placed(keys.pop(0)) for _ in range(3))
         c1, *of_v = _answered(answers, _WORD, len(words), 5)
         c2, *of_uv = _answered(answers, _PAIR, len(pairs), 5)
         (c3,) = _answered(answers, _TRIPLE, len(triples), 1)
